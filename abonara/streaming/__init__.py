@@ -1,0 +1 @@
+"""Deliberately empty: the month and quarter jobs of this engine are batch jobs."""
