@@ -165,9 +165,9 @@ def _(inputs):
 
 @case("overdue_ages", "B11 B12", "snap", """
   SELECT account, dt,
-    CASE WHEN bill_dt IS NOT NULL AND status = 'F' THEN age - (due_dt - bill_dt)
+    CAST(CASE WHEN bill_dt IS NOT NULL AND status = 'F' THEN age - (due_dt - bill_dt)
          WHEN bill_dt IS NOT NULL THEN age - (dt + 5 - bill_dt)
-         ELSE age - (dt + 9 - (dt - 1)) END AS overdue,
+         ELSE age - (dt + 9 - (dt - 1)) END AS INTEGER) AS overdue,
     CASE WHEN dt < DATE '1998-06-01' THEN age - 7 + 20 ELSE age END AS bridged
   FROM snap""")
 def _(inputs):
@@ -299,7 +299,8 @@ MOBILE_REASON = """CASE WHEN movement = 'Migraciones Out' THEN '2. Mobile Involu
 
 fragment("typed_mobile_moves", "mobile_moves", f"""
   SELECT *, {MOBILE_REASON.format(port='1. Mobile Voluntary Churner')} AS churn_type,
-    {MOBILE_REASON.format(port='2. Mobile Involuntary Churner')} AS strict_type FROM mobile_moves""")
+    {MOBILE_REASON.format(port='2. Mobile Involuntary Churner')} AS strict_type
+  FROM mobile_moves""")
 
 
 @case("mobile_movement_reasons", "B18", "typed_mobile_moves", """

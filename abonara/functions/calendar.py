@@ -53,16 +53,15 @@ def boundary_day(date: Column, boundary: str, grain: str = "month") -> Column:
 def complete_months(start: Column, end: Column) -> Column:
     """Number of complete months from ``start`` to ``end`` (negative backwards).
 
-    A month is complete when ``add_months(start, m)`` does not pass ``end``; month
-    ends clamp (30 January plus one month is 28 February), which the built-in
-    ``timestampdiff`` does not do.
+    A month is complete when the earlier date moved that many months does not pass the
+    later one; month ends clamp (30 January plus one month is 28 February), which the
+    built-in ``timestampdiff`` does not do.
     """
-    calendar = (F.year(end) - F.year(start)) * 12 + F.month(end) - F.month(start)
-    moved = F.add_months(start, calendar)
-    return (
-        F.when(start <= end, calendar - F.when(moved > end, 1).otherwise(0))
-        .when(start > end, calendar + F.when(moved < end, 1).otherwise(0))
-    )
+    def forward(a: Column, b: Column) -> Column:
+        calendar = (F.year(b) - F.year(a)) * 12 + F.month(b) - F.month(a)
+        return calendar - F.when(F.add_months(a, calendar) > b, 1).otherwise(0)
+
+    return F.when(start <= end, forward(start, end)).when(start > end, -forward(end, start))
 
 
 def complete_weeks(start: Column, end: Column) -> Column:

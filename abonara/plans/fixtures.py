@@ -12,7 +12,7 @@ from __future__ import annotations
 
 from functools import cached_property
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
 from abonara.functions import values as V
 from abonara.functions.calendar import complete_months, period_of
@@ -104,12 +104,22 @@ class Inputs:
 
     @cached_property
     def closing(self) -> DataFrame:
-        """Last profiled row per account and quarter, with account firsts and tenure."""
-        last = keep_one(
-            self.profiled.withColumn("period", period_of(F.col("dt"), "quarter")),
-            ["account", "period"], [F.desc("dt")])
-        return last.join(self.account_firsts, "account").withColumn(
-            "tenure", complete_months(F.col("start_dt"), F.col("dt")))
+        """Last profiled row per account and quarter, with account firsts and tenure.
+
+        The period aggregate also carries the period's first day and latest installation,
+        so the account-wide values are a window over period rows, not a second scan.
+        """
+        columns = [c for c in self.profiled.columns if c != "account"]
+        by_period = self.profiled.groupBy(
+            "account", period_of(F.col("dt"), "quarter").alias("period")
+        ).agg(F.max_by(F.struct(*columns), "dt").alias("last"),
+              F.min("dt").alias("_first"), F.max("inst_dt").alias("_inst"))
+        whole = Window.partitionBy("account")
+        rows = by_period.select(
+            "account", "period", "last.*",
+            F.min("_first").over(whole).alias("start_dt"),
+            F.max("_inst").over(whole).alias("max_inst_dt"))
+        return rows.withColumn("tenure", complete_months(F.col("start_dt"), F.col("dt")))
 
     @cached_property
     def service_orders(self) -> DataFrame:
