@@ -59,7 +59,8 @@ fragment("snap", "order_lines", """
 
 fragment("profiled", "snap", """
   SELECT *, CAST(rgu_vo + rgu_tv + rgu_bb AS INTEGER) AS num_rgus,
-    CAST(rgu_vo + rgu_tv + rgu_bb AS VARCHAR) || 'P' AS mix
+    CAST(rgu_vo + rgu_tv + rgu_bb AS VARCHAR) || 'P' AS mix,
+    CASE WHEN bb_nm = 'PROMO' OR (tv_nm = 'MEDIUM' AND bb_nm IS NULL) THEN 'FTTH' ELSE 'HFC' END AS tech
   FROM (SELECT *,
       CASE WHEN coalesce(vo_nm, '') = '' THEN 0 ELSE 1 END AS rgu_vo,
       CASE WHEN coalesce(tv_nm, '') = '' THEN 0 ELSE 1 END AS rgu_tv,

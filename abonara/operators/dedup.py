@@ -108,11 +108,15 @@ def attach_multiplicity(df: DataFrame, keys: Sequence[str], name: str = "copies"
     """Attach to each row how many rows share its key (1 when the key is null).
 
     Counting first and joining back keeps a hot key out of a single window partition:
-    the count combines on the map side, and AQE splits or broadcasts the join.
+    the count combines on the map side, and AQE splits or broadcasts the join. Rows with
+    a null key match nothing; a hash of the row spreads them over the partitions.
     """
-    counted = F.expr(" AND ".join(f"{k} IS NOT NULL" for k in keys))
-    counts = df.where(counted).groupBy(*keys).agg(F.count("*").alias(name))
-    return df.join(counts, list(keys), "left").withColumn(name, F.coalesce(name, F.lit(1)))
+    null_key = F.expr(" OR ".join(f"{k} IS NULL" for k in keys))
+    counts = (df.where(~null_key).groupBy(*keys).agg(F.count("*").alias(name))
+              .withColumn("_spread", F.lit(0).cast("long")))
+    spread = F.when(null_key, F.xxhash64(*df.columns)).otherwise(F.lit(0).cast("long"))
+    return (df.withColumn("_spread", spread).join(counts, [*keys, "_spread"], "left")
+            .drop("_spread").withColumn(name, F.coalesce(name, F.lit(1))))
 
 
 def rank_pairs(pairs: DataFrame, left: str = "fixed_account", right: str = "mobile_account",

@@ -16,7 +16,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
 from abonara.functions import values as V
 from abonara.functions.calendar import complete_months, period_of
-from abonara.functions.profile import oldest_unpaid, product_mix, rgu_count, rgu_flags
+from abonara.functions.profile import oldest_unpaid, product_mix, rgu_count, rgu_flags, tech_flag
 from abonara.operators.dedup import keep_one
 from abonara.sources.tables import read_table
 
@@ -93,8 +93,9 @@ class Inputs:
 
     @cached_property
     def profiled(self) -> DataFrame:
-        """Snapshot with RGU flags, count and mix."""
-        return rgu_flags(self.snap).withColumns({"num_rgus": rgu_count(), "mix": product_mix()})
+        """Snapshot with RGU flags, count, mix and technology."""
+        return rgu_flags(self.snap).withColumns({
+            "num_rgus": rgu_count(), "mix": product_mix(), "tech": tech_flag("PROMO", "MEDIUM")})
 
     @cached_property
     def account_firsts(self) -> DataFrame:

@@ -13,13 +13,15 @@ from abonara.functions import profile as P
 from abonara.functions import values as V
 from abonara.functions.calendar import complete_months, period_of, shift_period
 from abonara.operators import churn as E
+from abonara.operators import converge as C
+from abonara.operators import converge_phone as CP
 from abonara.operators import dedup as D
 from abonara.operators import snapshot as S
 from abonara.plans.fixtures import Inputs
 
 GRAIN = "quarter"
 PAIR_COLUMNS = ["num_rgus", "mix", "age", "bill_amt", "vo_nm", "tv_nm", "bb_nm", "tenure",
-                "start_dt", "max_inst_dt"]
+                "start_dt", "max_inst_dt", "tech"]
 
 
 def pairs(inputs: Inputs) -> DataFrame:
@@ -118,3 +120,99 @@ def fixed_table(inputs: Inputs, days: int = 90) -> DataFrame:
         })
         .drop("_before", "_crossed", "_paying", "b__live", "e__live", "b_last_pay_dt",
               "e_last_pay_dt", "held_rgus", "first_rgus"))
+
+
+def near_mobile(inputs: Inputs) -> DataFrame:
+    """Mobile table with the near-FMC columns and names that do not clash."""
+    mobile = (mobile_table(inputs)
+              .withColumnsRenamed({"active_bom": "mobile_active_bom", "active_eom": "mobile_active_eom"})
+              .drop("b_start_dt", "e_start_dt"))
+    return C.near_fmc(mobile, inputs.fixed_emails)
+
+
+def converged(inputs: Inputs) -> DataFrame:
+    fixed = fixed_table(inputs).withColumnRenamed("account", "fixed_account")
+    return C.converge(fixed, near_mobile(inputs))
+
+
+FMC_STEPS = (C.fmc_status, C.fmc_type, C.final_flags, C.fmc_segment, C.final_churn, C.totals,
+             C.final_rejoiner, C.partial_total, C.waterfall, C.splits)
+
+
+def fmc_table(inputs: Inputs) -> DataFrame:
+    """Converged account-period table with every label of the waterfall."""
+    df = converged(inputs)
+    for step in FMC_STEPS:
+        df = step(df)
+    return df
+
+
+REAL_CODES = ("PROMO-1", "LARGE-2", "LARGE-3")
+
+
+def phone_fixed(inputs: Inputs) -> DataFrame:
+    """Fixed table in the layout of the phone-matched market."""
+    churn, movement = F.col("churn_type"), F.col("main_movement")
+    number = lambda n: F.concat(F.lit("7"), F.lpad((F.col("account").cast("long") + n).cast("string"), 9, "0"))
+    columns = {
+        "fixed_account": F.col("account"), "phone1": number(0), "phone2": number(1),
+        "fix_churn_flag": F.when(churn.isNotNull(), CP.FIXED_CHURNER).otherwise(CP.FIXED_STAYER),
+        "fix_churn_type": F.when((churn == V.FIXED_VOLUNTARY) & (F.col("b_mix") == "0P"), CP.ZERO_P)
+        .when((churn == V.FIXED_VOLUNTARY) & (F.col("b_mix") == "3P"), CP.TRANSFER).otherwise(churn),
+        "fix_movement": F.when(movement == V.NEW, CP.NEW).when(movement == V.COME_BACK, CP.BACK)
+        .when(movement == V.LOSS, CP.NULL_LAST_DAY).when(movement == V.MISSING, CP.TRANSFER_ADD),
+        "fix_rejoiner": P.flag(F.col("rejoiner_type").isNotNull()),
+        "fix_e_start": F.when(F.col("e_tech") == "FTTH", F.col("e_start_dt")),
+    }
+    for s, when in (("b", "bom"), ("e", "eom")):
+        columns |= {
+            f"fix_{s}_active": F.col(f"active_{when}"), f"fix_{s}_tenure": F.replace(
+                F.col(f"{s}_tenure_segment"), F.lit(" "), F.lit("-")),
+            f"fix_{s}_mrc": F.round(f"{s}_bill_amt", 0), f"fix_{s}_rgus": F.col(f"{s}_num_rgus"),
+            f"fix_{s}_mix": F.col(f"{s}_mix"), f"fix_{s}_tech": F.col(f"{s}_tech"),
+            f"fix_{s}_bill_code": F.concat(F.col(f"{s}_bb_nm"), F.lit("-"), F.col(f"{s}_num_rgus").cast("string")),
+            f"fix_{s}_overdue": F.col(f"{s}_age"),
+        }
+    return fixed_table(inputs).select("period", *[c.alias(n) for n, c in columns.items()])
+
+
+def phone_mobile(inputs: Inputs) -> DataFrame:
+    """Mobile table in the layout of the phone-matched market."""
+    churn = F.col("mobile_churn_type")
+    columns = {
+        "mob_churn_flag": F.when(churn.isNotNull(), CP.MOBILE_CHURNER).otherwise(CP.MOBILE_STAYER),
+        "mob_churn_type": churn,
+        "mob_movement": F.when((F.col("active_bom") == 0) & (F.col("e_mobile_tenure") == "Early Tenure"), CP.NEW)
+        .when(F.col("active_bom") == 0, CP.BACK),
+        "mob_rejoiner": P.flag(F.col("mobile_rejoiner_type").isNotNull()),
+    }
+    for s, when in (("b", "bom"), ("e", "eom")):
+        columns |= {
+            f"mob_{s}_active": F.col(f"active_{when}"), f"mob_{s}_tenure": F.replace(
+                F.col(f"{s}_mobile_tenure"), F.lit(" "), F.lit("-")),
+            f"mob_{s}_mrc": F.col(f"{s}_mrc"), f"mob_{s}_rgus": F.col(f"active_{when}"),
+        }
+    return mobile_table(inputs).select("period", "mobile_account", *[c.alias(n) for n, c in columns.items()])
+
+
+def prepaid_phones(inputs: Inputs) -> DataFrame:
+    """Prepaid numbers seen as open at the start and the end: low-priority orders."""
+    rows = inputs.table("orders").where(F.col("o_orderpriority") == "5-LOW")
+    return rows.select(
+        F.concat(F.lit("7"), F.lpad(F.col("o_custkey").cast("string"), 9, "0")).alias("phone"),
+        P.flag(F.col("o_orderstatus") == "O").alias("on_b"),
+        P.flag(F.col("o_orderstatus") == "F").alias("on_e"))
+
+
+def phone_fmc_base(inputs: Inputs) -> DataFrame:
+    fixed, mobile = phone_fixed(inputs), phone_mobile(inputs)
+    return CP.fmc_base(fixed, mobile, CP.phone_converge(fixed, mobile))
+
+
+def phone_fmc_adjusted(inputs: Inputs) -> DataFrame:
+    return CP.fmc_adjust(CP.fmc_class(phone_fmc_base(inputs), prepaid_phones(inputs), REAL_CODES))
+
+
+def phone_fmc_table(inputs: Inputs) -> DataFrame:
+    """Converged table of the phone-matched market."""
+    return CP.fmc_waterfall(phone_fmc_adjusted(inputs))
