@@ -143,7 +143,10 @@ fragment("contacts", "", """
 fragment("bills", "", """
   SELECT CAST(user_id AS VARCHAR) AS account, CAST(ts AS DATE) AS dt, event_id AS row_id,
     CASE WHEN value >= 20 THEN CAST(ts AS DATE) END AS bill_dt, round(value, 2) AS mrc,
-    CAST(event_id % 4 AS INTEGER) AS mix_qty
+    CAST(event_id % 4 AS INTEGER) AS mix_qty,
+    CASE WHEN event_id % 4 >= 1 THEN 'bb-' || CAST(event_id % 3 AS VARCHAR) END AS bb_nm,
+    CASE WHEN event_id % 4 >= 2 THEN 'tv-' || CAST(event_id % 3 AS VARCHAR) END AS tv_nm,
+    CASE WHEN event_id % 4 >= 3 THEN 'vo-' || CAST(event_id % 3 AS VARCHAR) END AS vo_nm
   FROM events WHERE event_type = 'signup'""")
 
 fragment("payments", "", """

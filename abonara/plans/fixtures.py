@@ -239,6 +239,9 @@ class Inputs:
             F.when(F.col("value") >= 20, F.to_date("ts")).alias("bill_dt"),
             F.round("value", 2).alias("mrc"),
             (F.col("event_id") % 4).cast("int").alias("mix_qty"),
+            *[F.when(F.col("event_id") % 4 >= n, F.concat(
+                F.lit(f"{line}-"), (F.col("event_id") % 3).cast("string"))).alias(f"{line}_nm")
+              for n, line in ((1, "bb"), (2, "tv"), (3, "vo"))],
         )
 
     @cached_property
