@@ -201,8 +201,9 @@ def _claim_sql(purpose, text):
     FROM (SELECT source, {_claim_sql("'CLAIM'", 'lower(text)')} AS category FROM documents) c) k
   GROUP BY ALL""")
 def _(inputs):
-    category = P.classify_claim(F.lit("CLAIM"), F.col("text"))
-    return (inputs.table("documents").select("source", category.alias("category"))
+    category = P.classify_claim(F.lit("CLAIM"), F.col("lowered"))
+    return (inputs.table("documents").select("source", F.lower("text").alias("lowered"))
+            .select("source", category.alias("category"))
             .withColumn("kind", P.claim_type(F.col("category")))
             .groupBy("source", "category", "kind").agg(F.count("*").alias("texts")))
 
@@ -217,9 +218,10 @@ def _(inputs):
     purpose = (F.when(F.col("role") == "user", "CLAIM").when(F.col("role") == "assistant", "TICKET")
                .otherwise("TRUCKROLL"))
     fields = [F.col("text"), F.col("role")]
-    return inputs.table("conversations").select(
-        "conv_id", "turn",
-        P.classify_claim(purpose, P.disposition_text(purpose, fields, fields)).alias("category"))
+    texts = inputs.table("conversations").select(
+        "conv_id", "turn", purpose.alias("purpose"),
+        P.disposition_text(purpose, fields, fields).alias("info"))
+    return texts.select("conv_id", "turn", P.classify_claim(F.col("purpose"), F.col("info")).alias("category"))
 
 
 @case("technical_texts", "B14", "", f"""
@@ -228,8 +230,8 @@ def _(inputs):
     THEN 'tech_call' END AS kind
   FROM documents""")
 def _(inputs):
-    return inputs.table("documents").select(
-        "doc_id", P.classify_technical(F.col("text")).alias("kind"))
+    lowered = inputs.table("documents").select("doc_id", F.lower("text").alias("lowered"))
+    return lowered.select("doc_id", P.classify_technical(F.col("lowered")).alias("kind"))
 
 
 def _channel_sql(c):

@@ -12,6 +12,7 @@ from typing import NamedTuple
 from pyspark.sql import DataFrame, SparkSession
 
 from abonara.plans.fixtures import Inputs
+from abonara.session import tune
 
 
 class Case(NamedTuple):
@@ -49,7 +50,7 @@ def case(name: str, ids: str, needs: str = "", sql: str | None = None):
     def register(fn: Callable[[Inputs], DataFrame]):
         if name in CASES:
             raise ValueError(f"duplicate query {name}")
-        run = lambda spark, folder: fn(Inputs(spark, folder))
+        run = lambda spark, folder: fn(Inputs(tune(spark), folder))
         CASES[name] = Case(run, with_fragments(needs, sql) if sql else None, tuple(ids.split()))
         return fn
 

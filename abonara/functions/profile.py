@@ -226,9 +226,12 @@ def collapse_channel(channel: Column, fragments: tuple[str, ...] = ("D2D", "Digi
     return first_match([(channel.contains(f), f) for f in fragments], channel)
 
 
-def classify_claim(purpose: Column, disposition: Column) -> Column:
-    """Claim category from the lower-cased disposition text, first pattern list wins."""
-    text = F.lower(disposition)
+def classify_claim(purpose: Column, text: Column) -> Column:
+    """Claim category of a lower-cased disposition text, first pattern list wins.
+
+    ``text`` is used by every pattern: pass a column that an earlier projection lowered,
+    else each pattern lowers the text again.
+    """
     claim = purpose == "CLAIM"
     rules = [(claim & like_any(text, patterns), label) for label, patterns in V.CLAIM_PATTERNS]
     return first_match(rules + [
@@ -257,6 +260,8 @@ def classify_technical(
     text: Column, include: tuple[str, ...] = V.TECH_CALL_INCLUDE,
     exclude: tuple[str, ...] = V.TECH_CALL_EXCLUDE,
 ) -> Column:
-    """``tech_call`` when an include pattern and no exclude pattern matches."""
-    lowered = F.lower(text)
-    return F.when(like_any(lowered, include) & ~like_any(lowered, exclude), "tech_call")
+    """``tech_call`` when an include pattern and no exclude pattern matches.
+
+    ``text`` is lower-cased beforehand, as for :func:`classify_claim`.
+    """
+    return F.when(like_any(text, include) & ~like_any(text, exclude), "tech_call")

@@ -37,14 +37,17 @@ def _in_order(parts: Sequence[str]) -> str:
 def like_any(text: Column, patterns: Sequence[str]) -> Column:
     """OR of LIKE patterns that start and end with a percent sign.
 
-    Single fragments become plain substring tests, the others share one expression.
+    A pattern of several fragments first asks whether the text holds each of them, which
+    is a fast byte search and settles nearly all rows; only then the order is checked.
+    Give this function a column, not an expression: it refers to ``text`` many times.
     """
+    tests = []
     for pattern in patterns:
         if not (pattern.startswith("%") and pattern.endswith("%")) or "_" in pattern:
             raise ValueError(f"not a %...% pattern: {pattern!r}")
-    split = [[part for part in pattern.split("%") if part] for pattern in patterns]
-    tests = [text.contains(parts[0]) for parts in split if len(parts) == 1]
-    chains = [_in_order(parts) for parts in split if len(parts) > 1]
-    if chains:
-        tests.append(text.rlike("(?s)^(?:" + "|".join(chains) + ")"))
+        parts = [part for part in pattern.split("%") if part]
+        test = all_of(text.contains(part) for part in dict.fromkeys(parts))
+        if len(parts) > 1:
+            test = test & text.rlike("(?s)^" + _in_order(parts))
+        tests.append(test)
     return any_of(tests)

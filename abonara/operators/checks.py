@@ -110,22 +110,20 @@ def dashboard_counts(table: DataFrame, views: Sequence[tuple[str, Column, Sequen
 
     A view is (name, filter, dimensions, measure); the measure is ``users`` for account
     rows or ``rgus`` for RGUs lost. ``table`` has one row per period and final account, so
-    rows are distinct accounts. It is reduced once to a cube over all dimensions and the
-    view filters; every view then reads that small cube, whose exchange Spark reuses.
+    rows are distinct accounts. It is reduced once to a cube over all dimensions and view
+    filters; each cube row is then spread to the views it belongs to and summed there.
     """
     keeps = {f"_keep_{i}": F.coalesce(keep, F.lit(False)) for i, (_, keep, _, _) in enumerate(views)}
     cube = table.withColumns(keeps).groupBy("period", *dims, *keeps).agg(
         F.count("*").alias("users"),
         (F.sum("b_total_rgus") - F.sum(F.coalesce("e_total_rgus", F.lit(0.0)))).alias("rgus"))
-    out = None
-    for i, (name, _, shown, measure) in enumerate(views):
-        view = cube.where(F.col(f"_keep_{i}")).groupBy("period", *shown).agg(
-            F.round(F.sum(measure).cast("double"), 4).alias("value"))
-        view = view.select(
-            F.lit(name).alias("view"), "period",
-            *[(F.col(d) if d in shown else F.lit(None)).cast("string").alias(d) for d in dims], "value")
-        out = view if out is None else out.unionByName(view)
-    return out
+    spread = F.array(*[
+        F.struct(F.lit(name).alias("view"),
+                 *[(F.col(d) if d in shown else F.lit(None)).cast("string").alias(d) for d in dims],
+                 F.col(measure).cast("double").alias("value"), F.col(f"_keep_{i}").alias("_keep"))
+        for i, (name, _, shown, measure) in enumerate(views)])
+    return (cube.select("period", F.inline(spread)).where("_keep")
+            .groupBy("view", "period", *dims).agg(F.round(F.sum("value"), 4).alias("value")))
 
 
 def zero_p_recovered(table: DataFrame, daily: DataFrame, rejoiner_type: str, grain: str = "month") -> DataFrame:

@@ -185,7 +185,8 @@ def truckroll_match(contacts: DataFrame, truckrolls: DataFrame) -> DataFrame:
     account and day (first job and number of jobs) so that no day multiplies.
     """
     jobs = truckrolls.groupBy("account", "day").agg(F.min("job").alias("job"), F.count("*").alias("jobs"))
-    joined = contacts.join(jobs, ["account", "day"], "full")
+    lowered = contacts.withColumn("purpose_text", F.lower("purpose_text"))
+    joined = lowered.join(jobs, ["account", "day"], "full")
     return joined.withColumn("contact_kind", F.when(F.col("job").isNotNull(), "truckroll").otherwise(
         classify_technical(F.col("purpose_text"))))
 

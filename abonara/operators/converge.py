@@ -62,13 +62,18 @@ def converge(fixed: DataFrame, mobile: DataFrame) -> DataFrame:
     """Full join of the fixed and the mobile table on the normalized account and period.
 
     ``fixed`` has the account as ``fixed_account``, ``mobile`` brings ``fmc_account``,
-    ``mobile_active_bom`` and ``mobile_active_eom``.
+    ``mobile_active_bom`` and ``mobile_active_eom``. ``copies`` tells on how many rows of
+    the period a fixed account appears: as many as mobile lines share its key, at least
+    one. They are counted on the mobile keys, so the wide join is not computed twice.
     """
+    keyed = mobile.withColumn("_key", last10(F.col("fmc_account")))
+    lines = keyed.groupBy("_key", "period").agg(F.count("*").alias("_lines"))
     joined = (
         fixed.withColumn("_key", last10(F.col("fixed_account")))
-        .join(mobile.withColumn("_key", last10(F.col("fmc_account"))), ["_key", "period"], "full")
+        .join(lines, ["_key", "period"], "left")
+        .join(keyed, ["_key", "period"], "full")
         .drop("_key"))
-    return joined.withColumns({
+    return joined.withColumn("copies", F.coalesce("_lines", F.lit(1))).drop("_lines").withColumns({
         "final_account": F.concat_ws("", "fixed_account", "mobile_account"),
         "final_bom_active": flag(_on("active_bom") | _on("mobile_active_bom")),
         "final_eom_active": flag(_on("active_eom") | _on("mobile_active_eom")),
@@ -190,7 +195,8 @@ def totals(df: DataFrame) -> DataFrame:
     A fixed account that appears on several rows of a period shares its bill and RGUs
     among them (``copies``); the shares are fractions, nothing is truncated.
     """
-    df = attach_multiplicity(df, ["period", "fixed_account"], "copies")
+    if "copies" not in df.columns:
+        df = attach_multiplicity(df, ["period", "fixed_account"], "copies")
     zero = lambda c: F.coalesce(F.col(c), F.lit(0))
     mrc = lambda s: zero_money(f"{s}_bill_amt") / F.col("copies") + zero_money(f"{s}_mrc")
     zero_money = lambda c: F.coalesce(F.round(F.col(c), 0), F.lit(0.0))

@@ -16,7 +16,8 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
 from abonara.functions import values as V
 from abonara.functions.calendar import complete_months, period_of
-from abonara.functions.profile import oldest_unpaid, product_mix, rgu_count, rgu_flags, tech_flag
+from abonara.functions.profile import flag, oldest_unpaid, product_mix, rgu_count, rgu_flags, tech_flag
+from abonara.functions.rules import first_match
 from abonara.operators.dedup import keep_one
 from abonara.sources.tables import read_table
 
@@ -48,20 +49,30 @@ class Inputs:
 
     @cached_property
     def order_lines(self) -> DataFrame:
-        """Per order: product names, the largest charge per line, largest quantity."""
+        """Per order: product names, the largest charge per line, largest quantity.
+
+        The first name of a line is found as a number and turned into text afterwards:
+        fixed-width buffers keep the largest aggregate of the engine a hash aggregate,
+        text buffers would make it sort every line item.
+        """
         parts = self.table("part").select("p_partkey", "p_type")
         lines = self.table("lineitem").join(parts, F.col("l_partkey") == F.col("p_partkey"))
         aggregates = [
             F.max(F.col("l_quantity") * 2).cast("int").alias("double_quantity"),
             F.max("l_linenumber").alias("lines"),
         ]
+        names = []
         for line, types in LINE_TYPES.items():
-            of_line = F.col("p_type").isin(*types)
+            ordered = sorted(types)
+            rank = first_match([(F.col("p_type") == t, n) for n, t in enumerate(ordered)])
             aggregates += [
-                F.min(F.when(of_line, F.col("p_type"))).alias(f"{line}_nm"),
-                F.max(F.when(of_line, F.col("l_extendedprice"))).alias(f"mrc_{line}"),
+                F.min(rank).alias(f"_{line}"),
+                F.max(F.when(F.col("p_type").isin(*types), F.col("l_extendedprice"))).alias(f"mrc_{line}"),
             ]
-        return lines.groupBy("l_orderkey").agg(*aggregates)
+            names.append(first_match(
+                [(F.col(f"_{line}") == n, t) for n, t in enumerate(ordered)]).alias(f"{line}_nm"))
+        grouped = lines.groupBy("l_orderkey").agg(*aggregates)
+        return grouped.select("l_orderkey", "double_quantity", "lines", "mrc_vo", "mrc_tv", "mrc_bb", *names)
 
     @cached_property
     def snap(self) -> DataFrame:
@@ -107,19 +118,25 @@ class Inputs:
     def closing(self) -> DataFrame:
         """Last profiled row per account and quarter, with account firsts and tenure.
 
-        The period aggregate also carries the period's first day and latest installation,
-        so the account-wide values are a window over period rows, not a second scan.
+        The period aggregate also carries the period's first day, latest installation and
+        the lines held at any time, so the account-wide values are a window over period
+        rows, not further scans of the snapshot.
         """
         columns = [c for c in self.profiled.columns if c != "account"]
+        named = lambda c: flag(F.col(c).isNotNull())
+        held = lambda c: flag(F.count(c) > 0)
         by_period = self.profiled.groupBy(
             "account", period_of(F.col("dt"), "quarter").alias("period")
         ).agg(F.max_by(F.struct(*columns), "dt").alias("last"),
-              F.min("dt").alias("_first"), F.max("inst_dt").alias("_inst"))
+              F.min("dt").alias("_first"), F.max("inst_dt").alias("_inst"),
+              F.min_by(named("vo_nm") + named("bb_nm") + named("tv_nm"), "dt").alias("_rgus"),
+              (held("vo_nm") + held("bb_nm") + held("tv_nm")).alias("held_rgus"))
         whole = Window.partitionBy("account")
         rows = by_period.select(
-            "account", "period", "last.*",
+            "account", "period", "last.*", "held_rgus",
             F.min("_first").over(whole).alias("start_dt"),
-            F.max("_inst").over(whole).alias("max_inst_dt"))
+            F.max("_inst").over(whole).alias("max_inst_dt"),
+            F.min_by("_rgus", "_first").over(whole).alias("first_rgus"))
         return rows.withColumn("tenure", complete_months(F.col("start_dt"), F.col("dt")))
 
     @cached_property

@@ -18,6 +18,7 @@ from abonara.operators import converge_phone as CP
 from abonara.operators import dedup as D
 from abonara.operators import snapshot as S
 from abonara.plans.fixtures import Inputs
+from abonara.session import written
 
 GRAIN = "quarter"
 PAIR_COLUMNS = ["num_rgus", "mix", "age", "bill_amt", "vo_nm", "tv_nm", "bb_nm", "tenure",
@@ -76,12 +77,11 @@ def fixed_table(inputs: Inputs, days: int = 90) -> DataFrame:
     ``closing`` already holds, for each account and period, the state that every later rule
     asks about, so churn and rejoiner types are found on the pair itself: being below the
     threshold at the start and at or above it at the end is the involuntary rule, and the
-    type of the previous period is one look back per account. Only RGU counts of the whole
-    period come from a second aggregate.
+    type of the previous period is one look back per account. The snapshot is read once.
     """
     state = S.pair_closing_rows(
         inputs.closing.withColumn("_live", F.col("age").isNull() | (F.col("age") <= days)),
-        PAIR_COLUMNS + ["last_pay_dt", "_live"], GRAIN, max_age=100_000)
+        PAIR_COLUMNS + ["last_pay_dt", "_live", "held_rgus", "first_rgus"], GRAIN, max_age=100_000)
     b_age, e_age = F.col("b_age"), F.col("e_age")
     opens = F.col("b_date").isNotNull() & (b_age.isNull() | (b_age < days))
     closes = F.col("e_date").isNotNull() & F.col("e__live")
@@ -105,21 +105,19 @@ def fixed_table(inputs: Inputs, days: int = 90) -> DataFrame:
     typed = typed.withColumn("_before", before).withColumn("rejoiner_type", F.when(
         (shift_period(F.col("_before.period"), 1, GRAIN) == F.col("period")) & F.col("_paying"),
         E._labels(V.FIXED_REJOINERS, F.col("_before.churn_type"))))
-    held = E.period_rgus(inputs.snap, GRAIN)
-    first = E.first_seen_rgus(inputs.snap)
+    first_rgus = F.coalesce("b_first_rgus", "e_first_rgus")
     return (
         typed.where("active_bom = 1 OR active_eom = 1 OR churn_type IS NOT NULL")
-        .join(held, ["account", "period"], "left").join(first, "account", "left")
         .withColumns({
             "spin": S.spin(F.col("b_bill_amt"), F.col("e_bill_amt"), F.col("main_movement")),
             "b_tenure_segment": P.tenure_segment(F.col("b_tenure")),
             "e_tenure_segment": P.tenure_segment(F.col("e_tenure")),
-            "rgu_churn": E.rgu_churn(F.col("churn_type"), F.col("main_movement"), F.col("held_rgus"),
-                                     F.col("first_rgus"), F.col("b_num_rgus"), F.col("e_num_rgus")),
+            "rgu_churn": E.rgu_churn(F.col("churn_type"), F.col("main_movement"), F.col("e_held_rgus"),
+                                     first_rgus, F.col("b_num_rgus"), F.col("e_num_rgus")),
             "b_plan": P.plan_fingerprint("b_"), "e_plan": P.plan_fingerprint("e_"),
         })
-        .drop("_before", "_crossed", "_paying", "b__live", "e__live", "b_last_pay_dt",
-              "e_last_pay_dt", "held_rgus", "first_rgus"))
+        .drop("_before", "_crossed", "_paying", *[
+            f"{s}_{c}" for s in "be" for c in ("_live", "last_pay_dt", "held_rgus", "first_rgus")]))
 
 
 def near_mobile(inputs: Inputs) -> DataFrame:
@@ -205,7 +203,9 @@ def prepaid_phones(inputs: Inputs) -> DataFrame:
 
 
 def phone_fmc_base(inputs: Inputs) -> DataFrame:
-    fixed, mobile = phone_fixed(inputs), phone_mobile(inputs)
+    """Both account-period tables are needed for matching and for the join: written once."""
+    fixed = written(phone_fixed(inputs), "phone_fixed")
+    mobile = written(phone_mobile(inputs), "phone_mobile")
     return CP.fmc_base(fixed, mobile, CP.phone_converge(fixed, mobile))
 
 

@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 import tempfile
+from uuid import uuid4
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 #: Every setting is a runtime SQL setting, so it can also be applied to a session
 #: that somebody else created.
@@ -32,8 +33,12 @@ def local_session(cores: str = "8", app: str = "abonara") -> SparkSession:
         SparkSession.builder.master(f"local[{cores}]")
         .appName(app)
         .config("spark.ui.enabled", "false")
+        .config("spark.ui.showConsoleProgress", "false")
         .config("spark.sql.shuffle.partitions", cores)
         .config("spark.driver.memory", "12g")
+        # Static: recording the Python line of every expression costs milliseconds each,
+        # and the label chains here have hundreds.
+        .config("spark.python.sql.dataFrameDebugging.enabled", "false")
         .getOrCreate()
     )
 
@@ -49,3 +54,14 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     folder = tempfile.mkdtemp(prefix="abonara-checkpoint-")
     spark.sparkContext.setCheckpointDir(folder)
     return folder
+
+
+def written(df: DataFrame, name: str) -> DataFrame:
+    """Cut the lineage: write ``df`` to the shared folder once and read it back.
+
+    A parquet table survives lost executors, and its readers still prune columns and push
+    filters down, which a row checkpoint does not allow.
+    """
+    path = f"{ensure_checkpoint_dir(df.sparkSession)}/{name}_{uuid4().hex}"
+    df.write.parquet(path)
+    return df.sparkSession.read.parquet(path)

@@ -11,8 +11,28 @@ from abonara.functions import values as V
 from abonara.functions.calendar import period_of
 
 
+#: Schemas of the supplied tables; an explicit schema saves the footer scan that finds one.
+SCHEMAS = {
+    "orders": "o_orderkey BIGINT, o_custkey BIGINT, o_orderstatus STRING, o_totalprice DOUBLE, "
+              "o_orderdate TIMESTAMP_NTZ, o_orderpriority STRING",
+    "lineitem": "l_orderkey BIGINT, l_partkey BIGINT, l_suppkey BIGINT, l_linenumber INT, "
+                "l_quantity DOUBLE, l_extendedprice DOUBLE, l_discount DOUBLE, l_tax DOUBLE, "
+                "l_returnflag STRING, l_linestatus STRING, l_shipdate TIMESTAMP_NTZ",
+    "part": "p_partkey BIGINT, p_name STRING, p_brand STRING, p_type STRING, p_size INT, "
+            "p_retailprice DOUBLE",
+    "customer": "c_custkey BIGINT, c_name STRING, c_nationkey INT, c_acctbal DOUBLE, "
+                "c_mktsegment STRING",
+    "nation": "n_nationkey INT, n_name STRING, n_regionkey INT",
+    "events": "event_id BIGINT, ts TIMESTAMP_NTZ, user_id BIGINT, event_type STRING, "
+              "value DOUBLE, props STRING",
+    "documents": "doc_id BIGINT, text STRING, lang STRING, source STRING, n_chars BIGINT",
+    "conversations": "conv_id BIGINT, turn BIGINT, role STRING, text STRING",
+}
+
+
 def read_table(spark: SparkSession, folder: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{folder}/{name}.parquet")
+    reader = spark.read.schema(SCHEMAS[name]) if name in SCHEMAS else spark.read
+    return reader.parquet(f"{folder}/{name}.parquet")
 
 
 def active_base(
