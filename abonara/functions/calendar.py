@@ -38,6 +38,15 @@ def period_end(date: Column, grain: str = "month") -> Column:
     return F.date_sub(shift_period(period_of(date, grain), 1, grain), 1)
 
 
+def in_period(date: Column, period: Column, grain: str = "month") -> Column:
+    """Does ``date`` lie in the period that starts on ``period``?
+
+    Compares the bare date, so a constant period prunes date partitions and reaches the
+    scan; comparing :func:`period_of` would not.
+    """
+    return date.between(period, F.date_sub(shift_period(period, 1, grain), 1))
+
+
 def boundary_day(date: Column, boundary: str, grain: str = "month") -> Column:
     """Predicate: is ``date`` the boundary day of its period?
 

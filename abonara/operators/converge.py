@@ -61,19 +61,24 @@ def near_fmc(mobile: DataFrame, fixed_emails: DataFrame,
 def converge(fixed: DataFrame, mobile: DataFrame) -> DataFrame:
     """Full join of the fixed and the mobile table on the normalized account and period.
 
-    ``fixed`` has the account as ``fixed_account``, ``mobile`` brings ``fmc_account``,
-    ``mobile_active_bom`` and ``mobile_active_eom``. ``copies`` tells on how many rows of
-    the period a fixed account appears: as many as mobile lines share its key, at least
-    one. They are counted on the mobile keys, so the wide join is not computed twice.
+    ``fixed`` has one row per account and period, the account as ``fixed_account``;
+    ``mobile`` brings ``fmc_account``, ``mobile_active_bom`` and ``mobile_active_eom``.
+    ``copies`` tells on how many rows of the period a fixed account appears: as many as
+    mobile lines share its key, at least one.
+
+    One contract may own a large share of all mobile lines, and Spark cannot split a hot
+    key of a full join. The lines are therefore counted per key first; every mobile row
+    takes its account by a left join, which AQE does split, and the accounts without a
+    line are added. Both parts read the fixed side from the same exchange.
     """
     keyed = mobile.withColumn("_key", last10(F.col("fmc_account")))
-    lines = keyed.groupBy("_key", "period").agg(F.count("*").alias("_lines"))
-    joined = (
-        fixed.withColumn("_key", last10(F.col("fixed_account")))
-        .join(lines, ["_key", "period"], "left")
-        .join(keyed, ["_key", "period"], "full")
-        .drop("_key"))
-    return joined.withColumn("copies", F.coalesce("_lines", F.lit(1))).drop("_lines").withColumns({
+    lines = keyed.groupBy("_key", "period").agg(F.count("*").alias("copies"))
+    counted = fixed.withColumn("_key", last10(F.col("fixed_account"))).join(lines, ["_key", "period"], "left")
+    with_line = keyed.join(counted.where(_known("copies")), ["_key", "period"], "left")
+    alone = counted.where(~_known("copies"))
+    joined = with_line.unionByName(alone, allowMissingColumns=True).drop("_key")
+    return joined.withColumns({
+        "copies": F.coalesce("copies", F.lit(1)),
         "final_account": F.concat_ws("", "fixed_account", "mobile_account"),
         "final_bom_active": flag(_on("active_bom") | _on("mobile_active_bom")),
         "final_eom_active": flag(_on("active_eom") | _on("mobile_active_eom")),

@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, functions as F
 
 from abonara.functions import values as V
-from abonara.functions.calendar import period_of, shift_period
+from abonara.functions.calendar import in_period, period_of, shift_period
 from abonara.functions.profile import collapse_channel, flag
 from abonara.functions.rules import first_match
 from abonara.operators.dedup import densest_entry_day, first_by, first_non_null
@@ -24,11 +24,12 @@ def new_by_absence(snap: DataFrame, period: Column, back: int = 3, grain: str =
 
     One pass with two flags per account instead of an anti join of two scans.
     """
-    own = period_of(F.col("dt"), grain)
-    window = snap.where(own.between(shift_period(period, -back, grain), period))
+    day = F.col("dt")
+    window = snap.where(in_period(day, period, grain)
+                        | ((day >= shift_period(period, -back, grain)) & (day < period)))
     seen = window.where(F.col("account").isNotNull()).groupBy("account").agg(
-        F.max(flag(own == period)).alias("now"), F.max(flag(own < period)).alias("before"),
-        F.min(F.when(own == period, F.col("dt"))).alias("first_day"))
+        F.max(flag(day >= period)).alias("now"), F.max(flag(day < period)).alias("before"),
+        F.min(F.when(day >= period, day)).alias("first_day"))
     return seen.where("now = 1 AND before = 0").select("account", "first_day")
 
 
@@ -38,14 +39,14 @@ def new_by_first_seen(snap: DataFrame, period: Column, back: int = 6, ahead: int
     day = F.col("dt")
     window = snap.where(day.between(shift_period(period, -back, grain), shift_period(period, ahead, grain)))
     first = window.groupBy("account").agg(F.min(day).alias("first_day"))
-    return first.where(period_of(F.col("first_day"), grain) == period)
+    return first.where(in_period(F.col("first_day"), period, grain))
 
 
 def new_by_connect(snap: DataFrame, period: Column, back: int = 0, grain: str = "month",
                    connect: str = "inst_dt") -> DataFrame:
     """Accounts whose latest known connect date lies in the period ``back`` before."""
     latest = snap.groupBy("account").agg(F.max_by(connect, "dt").alias("connect_dt"))
-    return latest.where(period_of(F.col("connect_dt"), grain) == shift_period(period, -back, grain)).withColumn(
+    return latest.where(in_period(F.col("connect_dt"), shift_period(period, -back, grain), grain)).withColumn(
         "install_period", period_of(F.col("connect_dt"), grain))
 
 
@@ -89,7 +90,7 @@ def first_sale_attrs(gross_adds: DataFrame, period: Column | None = None, grain:
     day = F.try_to_date(F.col("sales_day"), "yyyy-MM-dd")
     sold = gross_adds.where((F.col("sales_day") != "")).withColumn("sale_day", day)
     if period is not None:
-        sold = sold.where(period_of(F.col("sale_day"), grain) == period)
+        sold = sold.where(in_period(F.col("sale_day"), period, grain))
     return first_by(sold, ["account"], ["sale_day", "sale_id"], {
         "sale_day": F.col("sale_day"), "channel": F.col("channel"), "seller": F.col("seller"),
         "sold_rgus": F.expr("try_cast(rgus_sold_text AS int)")})
@@ -165,7 +166,7 @@ def upsell_base(snap: DataFrame, newcomers: DataFrame, period: Column, grain: st
     ``mix_qty`` is the RGU count of the day. ``reached_on`` is the first day on which the
     count had its final value.
     """
-    rows = (snap.where(period_of(F.col("dt"), grain) == period)
+    rows = (snap.where(in_period(F.col("dt"), period, grain))
             .join(newcomers.select("account"), "account", "left_anti"))
     state = F.struct("mix_qty", "mrc", *NAMES)
     order = F.struct("dt", "row_id")

@@ -16,6 +16,11 @@ def spark():
     from abonara.session import local_session
     session = local_session("4", "tests")
     session.sparkContext.setLogLevel("ERROR")
+    # The tables are tiny: compiling each stage would take far longer than running it.
+    # tools/compare.py runs the same comparisons with compiled stages.
+    session.conf.set("spark.sql.codegen.wholeStage", "false")
+    session.conf.set("spark.sql.codegen.factoryMode", "NO_CODEGEN")
+    session.conf.set("spark.sql.shuffle.partitions", "2")
     yield session
     session.stop()
 
