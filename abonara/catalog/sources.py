@@ -151,7 +151,7 @@ def _(inputs):
 @case("prepaid_base", "A7", "", f"""
   SELECT DISTINCT '8' || CAST(o_custkey AS VARCHAR) AS phone FROM orders
   WHERE {mth('o_orderdate')} = DATE '1997-05-01' AND o_orderstatus = 'O'
-    AND o_orderpriority <> '1-URGENT' AND o_totalprice >= 50000 AND o_orderkey % 5 <> 0""")
+    AND o_orderpriority <> '1-URGENT' AND o_totalprice BETWEEN 50000 AND 400000""")
 def _(inputs):
     prepaid = inputs.table("orders").select(
         F.concat(F.lit("8"), F.col("o_custkey").cast("string")).alias("subscription_id"),
@@ -159,16 +159,16 @@ def _(inputs):
         F.col("o_orderstatus").alias("cust_state"),
         F.when(F.col("o_orderpriority") == "1-URGENT", "B").otherwise("I").alias("account_type"),
         F.when(F.col("o_totalprice") < 50000, "VI").otherwise("PR").alias("region"),
-        F.when(F.col("o_orderkey") % 5 == 0, "S").otherwise("A").alias("subscription_state"))
+        F.when(F.col("o_totalprice") > 400000, "S").otherwise("A").alias("subscription_state"))
     return S.prepaid_base(prepaid, F.to_date(F.lit("1997-05-01")))
 
 
 @case("clean_interactions", "A8", "", f"""
   SELECT event_id AS interaction_id, CAST(ts AS DATE) AS day, {mth('ts')} AS period FROM events
-  WHERE event_id % 13 <> 0 AND value >= 5 AND ts < TIMESTAMP '2024-02-01'""")
+  WHERE event_type <> 'view' AND value >= 5 AND ts < TIMESTAMP '2024-02-01'""")
 def _(inputs):
     raw = inputs.table("events").select(
         F.col("event_id").alias("interaction_id"),
-        F.when(F.col("event_id") % 13 == 0, " ").when(F.col("value") < 5, None)
+        F.when(F.col("event_type") == "view", " ").when(F.col("value") < 5, None)
         .otherwise(F.col("ts").cast("string")).alias("start_text"))
     return S.clean_interactions(raw, F.to_date(F.lit("2024-01-01")), 0).drop("start_text")
