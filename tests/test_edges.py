@@ -282,3 +282,30 @@ def test_only_written_periods_are_replaced(spark, tmp_path):
     tables.save_periods(df.where("v = 2").withColumn("v", F.lit(7)), path)
     assert rows(tables.read_periods(spark, path), "v") == [(1,), (7,)]
     assert tables.read_periods(spark, path, first="2022-02-01").count() == 1
+
+
+# -- hot keys and the shared folder ----------------------------------------------------
+
+def test_hot_contract_keeps_every_line(spark):
+    fixed = spark.createDataFrame([(DAY0, "77", 1, 1), (DAY0, "88", 1, 0)],
+                                  "period date, fixed_account string, active_bom int, active_eom int")
+    mobile = spark.createDataFrame([(DAY0, f"m{i}", "77" if i < 50 else f"9{i}", 1, 1) for i in range(60)],
+                                   "period date, mobile_account string, fmc_account string, "
+                                   "mobile_active_bom int, mobile_active_eom int")
+    got = C.converge(fixed, mobile)
+    assert got.count() == 61
+    assert {r.copies for r in got.where("fixed_account = '77'").collect()} == {50}
+    assert rows(got.where("mobile_account IS NULL"), "final_account", "copies", "final_eom_active") == [("88", 1, 0)]
+    assert got.where("fixed_account IS NULL AND copies = 1").count() == 10
+
+
+def test_shared_folder_of_the_session_is_used():
+    from types import SimpleNamespace
+    from abonara.session import ensure_checkpoint_dir
+    used = []
+    context = SimpleNamespace(master="yarn", setCheckpointDir=used.append)
+    named = SimpleNamespace(sparkContext=context, conf=SimpleNamespace(get=lambda key, default: "/shared/cp"))
+    assert ensure_checkpoint_dir(named) == "/shared/cp" and used == ["/shared/cp"]
+    unnamed = SimpleNamespace(sparkContext=context, conf=SimpleNamespace(get=lambda key, default: default))
+    with pytest.raises(ValueError):
+        ensure_checkpoint_dir(unnamed)
