@@ -61,8 +61,7 @@ def utf8_size(text: Column) -> Column:
 
 def n_words(text: Column) -> Column:
     """Number of runs without white space, in the JVM."""
-    parts = F.split(F.regexp_replace(F.coalesce(text, F.lit("")), r"[\x20\x09-\x0D]+", " "), " ")
-    return F.size(F.filter(parts, lambda x: x != "")).cast("long")
+    return F.regexp_count(F.coalesce(text, F.lit("")), F.lit(r"[^\x20\x09-\x0D]+")).cast("long")
 
 
 def crc(text: Column) -> Column:

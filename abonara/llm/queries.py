@@ -4,14 +4,48 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from abonara.llm import decontam, quality, tokens
+from abonara.llm import decontam, mixing, quality, secrets, shards, tokens
 from abonara.session import tune
 
 
+def _spans_sql(kind: str, pattern: str, keep: str) -> str:
+    """Spans of one kind, by lengths of the pieces between matches."""
+    return f"""
+  SELECT doc_id, '{kind}' AS kind, pieces_len + len_before AS s, pieces_len + len_before + length(m) AS e FROM (
+    SELECT doc_id, m, k, coalesce(sum(length(m)) OVER (PARTITION BY doc_id ORDER BY k ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS len_before,
+           sum(length(piece)) OVER (PARTITION BY doc_id ORDER BY k) AS pieces_len
+    FROM (SELECT doc_id, unnest(ms) AS m, unnest(string_split_regex(body, '{pattern}')[1:len(ms)]) AS piece,
+                 unnest(range(len(ms))) AS k
+          FROM (SELECT doc_id, body, regexp_extract_all(body, '{pattern}') AS ms FROM d)))
+  WHERE {keep}"""
+
+
+SECRETS_SQL = f"""
+WITH d AS (SELECT doc_id, coalesce(text, '') AS body FROM documents),
+found AS ({_spans_sql("assign", secrets.RULES[0].pattern.replace("'", "''"), "length(regexp_extract(m, '[A-Za-z0-9+/_.=-]+$')) >= 12")}
+  UNION ALL {_spans_sql("access", "AKIA[A-Z0-9]+", "length(m) >= 18")}
+  UNION ALL {_spans_sql("hex", "[0-9a-f]+", "length(m) >= 16")}),
+per AS (SELECT doc_id, count(*) FILTER (kind = 'assign') AS n_assign, count(*) FILTER (kind = 'access') AS n_access,
+               count(*) FILTER (kind = 'hex') AS n_hex,
+               string_agg(kind || ':' || s || ':' || e, ',' ORDER BY s, CASE kind WHEN 'assign' THEN 0 WHEN 'access' THEN 1 ELSE 2 END) AS spans
+        FROM found GROUP BY doc_id)
+SELECT d.doc_id, coalesce(n_assign, 0) AS n_assign, coalesce(n_access, 0) AS n_access, coalesce(n_hex, 0) AS n_hex,
+       sha256(coalesce(spans, '')) AS base_sha256, coalesce(spans, '') AS spans
+FROM d LEFT JOIN per USING (doc_id)"""
+
+
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return tune(spark).read.parquet(f"{folder}/{name}.parquet")
 
 
+def op3_secret_scan(spark: SparkSession, folder: str) -> DataFrame:
+    return secrets.report(table(spark, folder, "documents"))
+
+
+def op4_sharding(spark: SparkSession, folder: str) -> DataFrame:
+    return shards.shards(table(spark, folder, "documents"))
+
+
 def op7_token_counts(spark: SparkSession, folder: str) -> DataFrame:
     return tokens.token_counts(table(spark, folder, "documents"))
 
@@ -25,5 +59,11 @@ def op9_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
     return quality.quality(table(spark, folder, "documents"), table(spark, folder, "labels"))
 
 
-QUERIES = {f.__name__: f for f in (op7_token_counts, op8_decontamination, op9_quality_rules)}
-SQL: dict[str, str] = {}
+def op10_mixing(spark: SparkSession, folder: str) -> DataFrame:
+    chosen = mixing.copies(table(spark, folder, "documents"))
+    return chosen.select("doc_id", "size", "source_size", "target", "taken", "source", "rate", "copies")
+
+
+QUERIES = {f.__name__: f for f in (
+    op3_secret_scan, op4_sharding, op7_token_counts, op8_decontamination, op9_quality_rules, op10_mixing)}
+SQL: dict[str, str] = {"op3_secret_scan": SECRETS_SQL}
