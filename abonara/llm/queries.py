@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from abonara.llm import decontam, mixing, quality, secrets, shards, tokens
+from abonara.llm import decontam, minhash, mixing, quality, secrets, shards, tokens
 from abonara.session import tune
 
 
@@ -35,9 +35,15 @@ FROM d LEFT JOIN per USING (doc_id)"""
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
+    # Whole texts travel to Python: smaller batches bound a worker's memory.
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "2000")
     return tune(spark).read.parquet(f"{folder}/{name}.parquet")
 
 
+def op1_minhash_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    return minhash.near_duplicates(table(spark, folder, "documents"))
+
+
 def op3_secret_scan(spark: SparkSession, folder: str) -> DataFrame:
     return secrets.report(table(spark, folder, "documents"))
 
@@ -65,5 +71,5 @@ def op10_mixing(spark: SparkSession, folder: str) -> DataFrame:
 
 
 QUERIES = {f.__name__: f for f in (
-    op3_secret_scan, op4_sharding, op7_token_counts, op8_decontamination, op9_quality_rules, op10_mixing)}
+    op1_minhash_dedup, op3_secret_scan, op4_sharding, op7_token_counts, op8_decontamination, op9_quality_rules, op10_mixing)}
 SQL: dict[str, str] = {"op3_secret_scan": SECRETS_SQL}
