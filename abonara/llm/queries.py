@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from abonara.llm import decontam, minhash, mixing, quality, secrets, shards, tokens
+from abonara.llm import decontam, minhash, mixing, quality, secrets, shards, suffixes, tokens
 from abonara.session import tune
 
 
@@ -44,6 +44,11 @@ def op1_minhash_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return minhash.near_duplicates(table(spark, folder, "documents"))
 
 
+def op2_suffix_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    found = suffixes.repeated_spans(table(spark, folder, "documents"))
+    return found.select("doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256")
+
+
 def op3_secret_scan(spark: SparkSession, folder: str) -> DataFrame:
     return secrets.report(table(spark, folder, "documents"))
 
@@ -71,5 +76,5 @@ def op10_mixing(spark: SparkSession, folder: str) -> DataFrame:
 
 
 QUERIES = {f.__name__: f for f in (
-    op1_minhash_dedup, op3_secret_scan, op4_sharding, op7_token_counts, op8_decontamination, op9_quality_rules, op10_mixing)}
+    op1_minhash_dedup, op2_suffix_dedup, op3_secret_scan, op4_sharding, op7_token_counts, op8_decontamination, op9_quality_rules, op10_mixing)}
 SQL: dict[str, str] = {"op3_secret_scan": SECRETS_SQL}
