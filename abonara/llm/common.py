@@ -115,7 +115,7 @@ def word_spans(data: np.ndarray, off: np.ndarray, blank: np.ndarray = SPACE):
     return start, end, np.searchsorted(off, start, side="right") - 1, inside
 
 
-_powers = np.ones(64, np.uint64)
+_powers = np.ones(1, np.uint64)
 
 
 def powers(n: int) -> np.ndarray:

@@ -11,6 +11,10 @@ components. Then the rest is done exactly: in buckets that still hold several co
 members outside of the largest one are compared with the members of other components. Every pair
 that shares a bucket is thus either compared or already connected; nothing is capped or dropped.
 
+Pairs are built only if a sketch allows a link: the parities of how many shingles of a set fall in
+each of 512 cells differ in at most as many cells as the sets have shingles not in common, and that
+is at most a seventh of both sizes at J = 0.75. The bound is exact, so it loses no link.
+
 Sets hold 64-bit hashes of shingles. A document with no words has the empty set and is linked with
 nothing; one with fewer words than a shingle has its whole sequence as one shingle. A document
 without id cannot be named as a partner: it is its own component, null, and is kept. Repeated rows
@@ -33,6 +37,8 @@ from abonara.llm.common import (LOWER, chunks, flat, mix, row_starts, texts, win
 WORDS = 5
 BANDS, BAND_ROWS = 32, 4
 SIMILAR, OF = 75, 100
+#: 64-bit words of the parity sketch.
+SKETCH = 8
 
 _rng = np.random.Generator(np.random.PCG64(71))
 _PERMUTATIONS = BANDS * BAND_ROWS // 2
@@ -79,6 +85,21 @@ def band_keys(shingles: np.ndarray) -> np.ndarray:
     return mix((values * _FOLD).sum(axis=1, dtype=np.uint64) + mix(np.arange(1, BANDS + 1, dtype=np.uint64))).view(np.int64)
 
 
+def parities(shingles: np.ndarray) -> np.ndarray:
+    """512 bits: the parity of the number of shingles in each cell."""
+    cells = np.bincount((shingles >> np.uint64(55)).astype(np.int64), minlength=64 * SKETCH)
+    return np.packbits((cells & 1).astype(np.uint8)).view(np.int64)
+
+
+def may_link(n_a, n_b, sketch_a, sketch_b):
+    """False only for pairs that cannot reach the threshold, by their sizes or by their sketches."""
+    apart = sum((F.bit_count(sketch_a[k].bitwiseXOR(sketch_b[k])) for k in range(1, SKETCH)),
+                F.bit_count(sketch_a[0].bitwiseXOR(sketch_b[0])))
+    sizes = OF * F.least(n_a, n_b) >= SIMILAR * F.greatest(n_a, n_b)
+    # |A or B| - |A and B| <= (1 - t) / (1 + t) * (|A| + |B|) with t = SIMILAR / OF
+    return sizes & ((OF + SIMILAR) * apart <= (OF - SIMILAR) * (n_a + n_b))
+
+
 def digest(shingles: np.ndarray) -> bytes:
     return hashlib.blake2b(shingles.tobytes(), digest_size=16).digest()
 
@@ -86,19 +107,22 @@ def digest(shingles: np.ndarray) -> bytes:
 def _features(batches):
     for batch in batches:
         data, off = flat(batch.column("body"))
-        size, name, bands = [], [], []
+        size, name, bands, sketch = [], [], [], []
         for s in shingle_sets(data, off):
             size.append(len(s))
             name.append(digest(s))
             bands.append(band_keys(s) if len(s) else np.zeros(0, np.int64))
+            sketch.append(parities(s))
         yield pa.RecordBatch.from_arrays(
             [batch.column("doc_id"), pa.array(size, pa.int64()), pa.array(name, pa.binary()),
-             pa.array(bands, pa.list_(pa.int64()))], names=["doc_id", "n_shingles", "digest", "bands"])
+             pa.array(bands, pa.list_(pa.int64())), pa.array(sketch, pa.list_(pa.int64()))],
+            names=["doc_id", "n_shingles", "digest", "bands", "sketch"])
 
 
 def features(docs: DataFrame) -> DataFrame:
-    """Per document: set size, digest of the set, band keys."""
-    return docs.mapInArrow(_features, f"doc_id {dict(docs.dtypes)['doc_id']}, n_shingles bigint, digest binary, bands array<bigint>")
+    """Per document: set size, digest of the set, band keys, parity sketch."""
+    return docs.mapInArrow(_features, f"doc_id {dict(docs.dtypes)['doc_id']}, n_shingles bigint, digest binary, "
+                                      "bands array<bigint>, sketch array<bigint>")
 
 
 def _confirm(batches):
@@ -166,33 +190,35 @@ def near_duplicates(docs: DataFrame, *, id_col: str = "doc_id", text_col: str =
     each = written(features(rows), "minhash_features")
     full = each.where("n_shingles > 0 and doc_id is not null")
     classes = full.groupBy("digest").agg(F.min("doc_id").alias("rep"), F.first("bands").alias("bands"),
-                                         F.first("n_shingles").alias("n"))
+                                         F.first("n_shingles").alias("n"), F.first("sketch").alias("sketch"))
     classes = written(classes.withColumn("node", F.monotonically_increasing_id()), "minhash_classes")
+    sketches = lambda s: classes.select(F.col("node").alias(f"node_{s}"), F.col("n").alias(f"n_{s}"),
+                                        F.col("sketch").alias(f"sketch_{s}"))
+    alike = may_link(F.col("n_a"), F.col("n_b"), F.col("sketch_a"), F.col("sketch_b"))
 
-    members = classes.select(F.explode("bands").alias("key"), "node", "n")
-    buckets = members.groupBy("key").agg(F.count("*").alias("many"), F.min(F.struct("node", "n")).alias("lead"))
+    members = classes.select(F.explode("bands").alias("key"), "node")
+    buckets = members.groupBy("key").agg(F.count("*").alias("many"), F.min("node").alias("lead"))
     buckets = buckets.where("many > 1").select(F.col("key").alias("bucket"), "lead")
-    shared = written(members.join(buckets, F.col("key") == F.col("bucket")).select("key", "node", "n", "lead"), "minhash_buckets")
-    alike = lambda x, y: OF * F.least(x, y) >= SIMILAR * F.greatest(x, y)
-    stars = shared.where((F.col("node") != F.col("lead.node")) & alike(F.col("n"), F.col("lead.n")))
-    stars = written(stars.select(F.col("node").alias("a"), F.col("lead.node").alias("b")).distinct(), "minhash_stars")
+    shared = written(members.join(buckets, F.col("key") == F.col("bucket")).select("key", "node", "lead"), "minhash_buckets")
+    stars = shared.where("node != lead").select(F.col("node").alias("a"), F.col("lead").alias("b")).distinct()
+    stars = stars.join(sketches("a"), F.col("a") == F.col("node_a")).join(sketches("b"), (F.col("b") == F.col("node_b")) & alike)
+    stars = written(stars.select("a", "b"), "minhash_stars")
     links = written(confirmed(stars, classes, named), "minhash_links")
     label = components(links, "minhash_first")
 
     # What stars leave open: buckets with members of several components.
-    placed = shared.select("key", "node", "n").join(label, "node", "left").withColumn(
-        "component", F.coalesce("component", "node"))
+    placed = shared.select("key", "node").join(label, "node", "left").withColumn("component", F.coalesce("component", "node"))
     parts = placed.groupBy("key", "component").agg(F.count("*").alias("many"))
     mixed = parts.groupBy("key").agg(F.count("*").alias("parts"), F.max_by("component", F.struct("many", "component")).alias("largest"))
     mixed = mixed.where("parts > 1").select(F.col("key").alias("bucket"), "largest")
-    open_ = written(placed.join(mixed, F.col("key") == F.col("bucket")).select("key", "node", "n", "component", "largest"),
-                    "minhash_open")
-    small = open_.where("component != largest").select("key", F.col("node").alias("a"), F.col("n").alias("n_a"),
-                                                       F.col("component").alias("c_a"))
-    other = open_.select("key", F.col("node").alias("b"), F.col("n").alias("n_b"), F.col("component").alias("c_b"), "largest")
-    rest = small.join(other, "key").where(
-        (F.col("c_a") != F.col("c_b")) & ((F.col("c_b") == F.col("largest")) | (F.col("a") < F.col("b")))
-        & alike(F.col("n_a"), F.col("n_b"))).select("a", "b").distinct()
+    open_ = placed.join(mixed, F.col("key") == F.col("bucket")).select("key", "node", "component", "largest")
+    open_ = written(open_.join(classes.select("node", "n", "sketch"), "node"), "minhash_open")
+    side = lambda s: [F.col(c).alias(f"{c}_{s}") for c in ("node", "n", "component", "sketch")]
+    small = open_.where("component != largest").select("key", *side("a"))
+    other = open_.select(F.col("key").alias("bucket"), "largest", *side("b"))
+    rest = small.join(other, (F.col("key") == F.col("bucket")) & (F.col("component_a") != F.col("component_b")) & alike & (
+        (F.col("component_b") == F.col("largest")) | (F.col("node_a") < F.col("node_b"))))
+    rest = rest.select(F.col("node_a").alias("a"), F.col("node_b").alias("b")).distinct()
     done = stars.union(stars.select("b", "a"))
     rest = written(rest.join(done, ["a", "b"], "left_anti"), "minhash_rest")
     if not rest.isEmpty():

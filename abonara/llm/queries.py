@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from abonara.llm import decontam, minhash, mixing, quality, secrets, shards, suffixes, tokens, toxicity
+from abonara.llm import decontam, lm, minhash, mixing, quality, secrets, shards, suffixes, tokens, toxicity
 from abonara.session import tune
 
 
@@ -61,6 +61,10 @@ def op5_toxicity(spark: SparkSession, folder: str) -> DataFrame:
     return toxicity.toxicity(table(spark, folder, "documents"), table(spark, folder, "labels"))
 
 
+def op6_lm_scores(spark: SparkSession, folder: str) -> DataFrame:
+    return lm.scores(table(spark, folder, "documents"))
+
+
 def op7_token_counts(spark: SparkSession, folder: str) -> DataFrame:
     return tokens.token_counts(table(spark, folder, "documents"))
 
@@ -80,5 +84,5 @@ def op10_mixing(spark: SparkSession, folder: str) -> DataFrame:
 
 
 QUERIES = {f.__name__: f for f in (
-    op1_minhash_dedup, op2_suffix_dedup, op3_secret_scan, op4_sharding, op5_toxicity, op7_token_counts, op8_decontamination, op9_quality_rules, op10_mixing)}
+    op1_minhash_dedup, op2_suffix_dedup, op3_secret_scan, op4_sharding, op5_toxicity, op6_lm_scores, op7_token_counts, op8_decontamination, op9_quality_rules, op10_mixing)}
 SQL: dict[str, str] = {"op3_secret_scan": SECRETS_SQL}
