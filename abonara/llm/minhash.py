@@ -212,12 +212,14 @@ def near_duplicates(docs: DataFrame, *, id_col: str = "doc_id", text_col: str =
     mixed = parts.groupBy("key").agg(F.count("*").alias("parts"), F.max_by("component", F.struct("many", "component")).alias("largest"))
     mixed = mixed.where("parts > 1").select(F.col("key").alias("bucket"), "largest")
     open_ = placed.join(mixed, F.col("key") == F.col("bucket")).select("key", "node", "component", "largest")
-    open_ = written(open_.join(classes.select("node", "n", "sketch"), "node"), "minhash_open")
-    side = lambda s: [F.col(c).alias(f"{c}_{s}") for c in ("node", "n", "component", "sketch")]
+    open_ = written(open_.join(classes.select("node", "n", "sketch", "bands"), "node"), "minhash_open")
+    side = lambda s: [F.col(c).alias(f"{c}_{s}") for c in ("node", "n", "component", "sketch", "bands")]
+    # A pair that shares several buckets is built in the first of them only.
+    first_shared = F.array_intersect("bands_a", "bands_b")[0] == F.col("key")
     small = open_.where("component != largest").select("key", *side("a"))
     other = open_.select(F.col("key").alias("bucket"), "largest", *side("b"))
     rest = small.join(other, (F.col("key") == F.col("bucket")) & (F.col("component_a") != F.col("component_b")) & alike & (
-        (F.col("component_b") == F.col("largest")) | (F.col("node_a") < F.col("node_b"))))
+        (F.col("component_b") == F.col("largest")) | (F.col("node_a") < F.col("node_b"))) & first_shared)
     rest = rest.select(F.col("node_a").alias("a"), F.col("node_b").alias("b")).distinct()
     done = stars.union(stars.select("b", "a"))
     rest = written(rest.join(done, ["a", "b"], "left_anti"), "minhash_rest")
