@@ -3,8 +3,8 @@
 Terms are words (A-Z lower-cased, ASCII marks cut off) and beginnings of words of ``PREFIX``
 characters, as several languages build on stems. Which terms enter the vectors is learned from all
 training labels: those whose share of label 1 lies ``Z_LEAST`` or more standard deviations away
-from the base rate, at most ``MAX_TERMS``, the strongest first; other terms carry no evidence and
-only noise. The index holds at most ``max_examples`` labelled vectors (the documents with the
+from the base rate and is at least ``LIFT`` times it or at most the same part of it, at most
+``MAX_TERMS``, the strongest first; other terms carry no evidence and only noise. The index holds at most ``max_examples`` labelled vectors (the documents with the
 smallest hash of their id); equal vectors are one entry with counts of both labels. A text's
 neighbours are its ``k`` nearest entries by cosine; postings are cut into blocks with their highest
 weight, and blocks whose bound is below the k-th similarity are not read, which leaves the result
@@ -32,6 +32,7 @@ from abonara.llm.common import texts, written
 
 PREFIX = (5, 7)
 Z_LEAST = 6.0
+LIFT = 3.0
 MAX_TERMS = 4096
 MAX_EXAMPLES = 20_000
 FOLDS = 5
@@ -41,36 +42,47 @@ PRIOR_WEIGHT = 0.5
 _MARKS = b"".join(bytes([b]) for b in range(33, 127) if not chr(b).isalnum())
 
 
-def terms(body: bytes) -> Counter:
-    """Counts of the terms of one text; a beginning of a word is marked by a star."""
-    found: Counter = Counter()
-    for word, n in Counter(body.lower().split()).items():
-        word = word.strip(_MARKS)
-        if word:
-            found[word] += n
-            text = word.decode("utf-8", "replace")
-            for size in PREFIX:
-                if len(text) > size:
-                    found[text[:size].encode() + b"*"] += n
-    return found
+def word_terms(word: bytes) -> tuple[bytes, ...]:
+    """The word without marks around it, and its beginnings, each marked by a star."""
+    word = word.strip(_MARKS)
+    if not word:
+        return ()
+    text = word.decode("utf-8", "replace")
+    return word, *(text[:size].encode() + b"*" for size in PREFIX if len(text) > size)
+
+
+class Memory(dict):
+    """Remembers what a function of a word gives; emptied when it is full."""
+
+    def __init__(self, of, most: int = 200_000):
+        self.of, self.most = of, most
+
+    def __missing__(self, word: bytes):
+        if len(self) >= self.most:
+            self.clear()
+        value = self[word] = self.of(word)
+        return value
 
 
 def _label_counts(batches):
     """Documents with each term, by label, for one partition."""
-    seen: dict[bytes, list[int]] = defaultdict(lambda: [0, 0])
+    seen: tuple[Counter, Counter] = (Counter(), Counter())
+    of_word = Memory(word_terms)
+
     def rows():
+        names = list(seen[0].keys() | seen[1].keys())
         return pa.RecordBatch.from_pydict({
-            "term": pa.array(list(seen), pa.binary()), "n0": pa.array([x[0] for x in seen.values()], pa.int64()),
-            "n1": pa.array([x[1] for x in seen.values()], pa.int64())})
+            "term": pa.array(names, pa.binary()), "n0": pa.array([seen[0][x] for x in names], pa.int64()),
+            "n1": pa.array([seen[1][x] for x in names], pa.int64())})
+
     for batch in batches:
         for body, label in zip(batch.column("body").to_pylist(), batch.column("label").to_pylist()):
-            for term in terms(body):
-                seen[term][label] += 1
-        if len(seen) > 300_000:
-            yield rows()
-            seen.clear()
-    if seen:
-        yield rows()
+            seen[label].update({term for word in set(body.lower().split()) for term in of_word[word]})
+            if len(seen[0]) + len(seen[1]) > 300_000:
+                yield rows()
+                seen[0].clear()
+                seen[1].clear()
+    yield rows()
 
 
 def selected_terms(train: DataFrame, total: tuple[int, int], z_least: float, max_terms: int) -> dict[bytes, float]:
@@ -82,6 +94,8 @@ def selected_terms(train: DataFrame, total: tuple[int, int], z_least: float, max
     many = F.col("n0") + F.col("n1")
     z = (F.col("n1") - many * rate) / F.sqrt(many * rate * (1 - rate))
     strong = counts.where(many >= 5).withColumn("z", z).where(F.abs("z") >= z_least)
+    share = F.col("n1") / many
+    strong = strong.where((share >= min(LIFT * rate, (1 + rate) / 2)) | (share * LIFT <= rate))
     rows = strong.orderBy(F.abs("z").desc(), "term").limit(max_terms).collect()
     return {bytes(r.term): math.log((1 + n0 + n1) / (1 + r.n0 + r.n1)) + 1 for r in rows}
 
@@ -94,10 +108,23 @@ class Index:
         self.entry: dict[tuple, int] = {}
         self.labels: list[list[int]] = []
         self.empty = [0, 0]
+        self.known = Memory(lambda word: tuple(t for t in word_terms(word) if t in weights))
+
+    def __getstate__(self):
+        return {k: v for k, v in vars(self).items() if k != "known"}
+
+    def __setstate__(self, state):
+        vars(self).update(state)
+        weights = self.weights
+        self.known = Memory(lambda word: tuple(t for t in word_terms(word) if t in weights))
 
     def vector(self, body: bytes) -> tuple:
-        found = terms(body)
-        raw = sorted((t, (1 + math.log(n)) * self.weights[t]) for t, n in found.items() if t in self.weights)
+        found: dict[bytes, int] = {}
+        known = self.known
+        for word in body.lower().split():
+            for term in known[word]:
+                found[term] = found.get(term, 0) + 1
+        raw = [(t, (1 + math.log(n)) * self.weights[t]) for t, n in sorted(found.items())]
         size = math.sqrt(sum(w * w for _, w in raw))
         return tuple((t, w / size) for t, w in raw)
 
@@ -116,14 +143,13 @@ class Index:
             for term, w in vector:
                 postings[term].append((k, w))
         self.blocks = -(-len(self.labels) // BLOCK)
-        self.postings, self.highest, self.cuts = {}, {}, {}
+        self.postings, self.highest = {}, {}
         for term, rows in postings.items():
             ids, w = np.array([k for k, _ in rows]), np.array([w for _, w in rows])
-            self.postings[term] = (ids, w)
+            self.postings[term] = (ids, w, ids // BLOCK)
             top = np.zeros(self.blocks)
             np.maximum.at(top, ids // BLOCK, w)
             self.highest[term] = top
-            self.cuts[term] = np.searchsorted(ids, np.arange(self.blocks + 1) * BLOCK)
         self.label_counts = np.array(self.labels, float).reshape(-1, 2)
         self.entry = {}
         return self
@@ -135,17 +161,23 @@ class Index:
             return np.zeros(0), np.zeros(0, int)
         bound = sum(w * self.highest[t] for t, w in parts)
         order = np.argsort(-bound, kind="stable")
-        sims, ids, least = np.zeros(0), np.zeros(0, int), -1.0
-        for block in order:
-            if bound[block] <= 0 or len(sims) == k and bound[block] < least - 1e-12:
-                break
-            score = np.zeros(BLOCK)
+        order = order[bound[order] > 0]
+        sims, ids, least, done, step = np.zeros(0), np.zeros(0, int), -1.0, 0, 2
+        while done < len(order) and not (len(sims) == k and bound[order[done]] < least - 1e-12):
+            # Blocks in steps of growing size, best bounds first; one pass over their postings each.
+            some = order[done:done + step]
+            some = some[bound[some] >= least - 1e-12] if len(sims) == k else some
+            done, step = done + step, step * 4
+            at = np.full(self.blocks, -1)
+            at[some] = np.arange(len(some))
+            score = np.zeros(len(some) * BLOCK)
             for t, w in parts:
-                a, b = self.cuts[t][block], self.cuts[t][block + 1]
-                rows, values = self.postings[t]
-                score[rows[a:b] - block * BLOCK] += w * values[a:b]
+                rows, values, block = self.postings[t]
+                into = at[block]
+                pick = into >= 0
+                score[into[pick] * BLOCK + rows[pick] % BLOCK] += w * values[pick]
             hit = np.flatnonzero(score)
-            sims, ids = np.append(sims, score[hit]), np.append(ids, hit + block * BLOCK)
+            sims, ids = np.append(sims, score[hit]), np.append(ids, some[hit // BLOCK] * BLOCK + hit % BLOCK)
             best = np.lexsort((ids, -np.round(sims, 12)))[:k]
             sims, ids = sims[best], ids[best]
             least = sims[-1] if len(sims) == k else -1.0
