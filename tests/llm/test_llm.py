@@ -1,0 +1,316 @@
+"""The operators on small hand-made tables, held against brute-force versions."""
+
+import collections
+import hashlib
+import math
+import random
+import re
+import zlib
+
+import numpy as np
+import pytest
+
+from abonara.llm import decontam, lm, minhash, mixing, quality, secrets, shards, suffixes, tokens, toxicity
+
+SCHEMA = "doc_id bigint, text string, source string, body string, row_id string, key string, size string, hits int"
+
+
+def documents():
+    rng = random.Random(5)
+    vocabulary = ["".join(rng.choice("abcdefghij") for _ in range(rng.randint(2, 8))) for _ in range(300)] + ["ÉÉ", "ñandú", "ab", "ba"]
+    say = lambda n: [rng.choice(vocabulary) for _ in range(n)]
+    base, passage = say(120), say(90)
+    near = base[:60] + ["changed"] + base[61:]
+    rows = [" ".join(base), " ".join(near), " ".join(base[:112]), "  ".join(base).upper(), None, "", " \n\t ", "one", "One  ",
+            "ab ba", "ba ab", " ".join(say(400) + passage), " ".join(say(30) + passage + say(50)), "x" * 1300, "ab" * 900,
+            "line one here\nline two\nline one here\n\n", "# $ | < > words", " ".join(say(20000))]
+    rows += [" ".join(say(rng.randint(1, 150))) for _ in range(25)]
+    ids = list(range(len(rows)))
+    table = list(zip(ids, rows)) + [(3, rows[3]), (None, rows[0]), (None, None), (1000, rows[0])]
+    return [(i, t, [None, "b", "a", "é"][k % 4] if k % 3 else "hot", "clash", "clash", "clash", "clash", 1) for k, (i, t) in enumerate(table)]
+
+
+@pytest.fixture(scope="module")
+def rows():
+    return documents()
+
+
+@pytest.fixture(scope="module")
+def docs(spark, rows):
+    return spark.createDataFrame(rows, SCHEMA)
+
+
+@pytest.fixture(scope="module")
+def empty(spark):
+    return spark.createDataFrame([], SCHEMA)
+
+
+def words(text):
+    return (text or "").encode().lower().split()
+
+
+def test_near_duplicates_match_brute_force(docs, rows):
+    sets = {}
+    for i, t, *_ in rows:
+        w = words(t)
+        if i is not None:
+            sets[i] = {tuple(w[k:k + 5]) for k in range(max(1, len(w) - 4))} if w else set()
+    lead = {i: i for i in sets}
+    for _ in range(len(sets)):
+        for a in sets:
+            for b in sets:
+                both = len(sets[a] & sets[b])
+                if sets[a] and sets[b] and 100 * both >= 75 * len(sets[a] | sets[b]):
+                    lead[a] = lead[b] = min(lead[a], lead[b])
+    got = minhash.near_duplicates(docs).collect()
+    assert len(got) == len(rows)
+    for r in got:
+        if r.doc_id is None:
+            assert r.component_id is None and r.kept
+        else:
+            assert (r.n_shingles, r.component_id, r.kept) == (len(sets[r.doc_id]), lead[r.doc_id], lead[r.doc_id] == r.doc_id)
+
+
+def test_words_with_the_same_bytes_have_different_hashes():
+    a, b = (next(minhash.shingle_sets(np.frombuffer(x, np.uint8), np.array([0, len(x)]))) for x in (b"ab ba", b"ba ab"))
+    assert len(np.intersect1d(a, b)) == 0
+
+
+def test_min_max_agreement_estimates_similarity():
+    rng = np.random.default_rng(1)
+    a = rng.integers(0, 2**63, 400, dtype=np.uint64)
+    b = np.concatenate([a[:300], rng.integers(0, 2**63, 100, dtype=np.uint64)])
+    low = [minhash.min_max(np.unique(x)) for x in (a, b)]
+    same = np.mean([np.mean(low[0][k] == low[1][k]) for k in (0, 1)])
+    assert abs(same - 0.6) < 0.15
+
+
+def test_repeated_bytes_match_brute_force(docs, rows):
+    seen = collections.Counter()
+    for _, t, *_ in rows:
+        b = (t or "").encode()
+        seen.update(b[k:k + 400] for k in range(len(b) - 399))
+    want = collections.Counter()
+    for i, t, *_ in rows:
+        b = (t or "").encode()
+        gone = np.zeros(len(b) + 1, int)
+        for k in range(len(b) - 399):
+            if seen[b[k:k + 400]] > 1:
+                gone[k] += 1
+                gone[k + 400] -= 1
+        gone = np.cumsum(gone)[:len(b)] > 0
+        spans = int((np.diff(np.concatenate([[0], gone.astype(int)])) == 1).sum())
+        kept = bytes(np.frombuffer(b, np.uint8)[~gone])
+        want[i, len(b), int(gone.sum()), spans, hashlib.sha256(kept).hexdigest()] += 1
+    got = collections.Counter((r.doc_id, r.n_bytes, r.n_removed, r.n_spans, r.kept_sha256) for r in suffixes.repeated_spans(docs).collect())
+    assert got == want and any(k[2] for k in want)
+
+
+def test_secrets_spans_and_ledger(spark):
+    texts = ['é password = "abcdefghijkl" x', "Token:short token: AbCdEfGhIjKl9/+", "AKIAABCDEFGHIJKLMN AKIA12", "0123456789abcdef0 0123456789abcde", None, ""]
+    table = spark.createDataFrame([(k, t, 1) for k, t in enumerate(texts + texts[:1])], "doc_id int, text string, blob int")
+    pattern = re.compile(secrets.RULES[0].pattern)
+    found = {r.doc_id: r for r in secrets.report(table).collect()}
+    for k, t in enumerate(texts):
+        want = [(m.start(), 0, f"assign:{m.start()}:{m.end()}") for m in pattern.finditer(t or "") if len(m[2]) >= 12]
+        want += [(m.start(), 1, f"access:{m.start()}:{m.end()}") for m in re.finditer("AKIA[A-Z0-9]+", t or "") if len(m[0]) >= 18]
+        want += [(m.start(), 2, f"hex:{m.start()}:{m.end()}") for m in re.finditer("[0-9a-f]+", t or "") if len(m[0]) >= 16]
+        assert found[k].spans == ",".join(x[2] for x in sorted(want))
+        assert found[k].base_sha256 == hashlib.sha256(found[k].spans.encode()).hexdigest()
+    paths = secrets.versions(table)
+    first = secrets.scan(paths.where("doc_id < 2"))
+    later = secrets.scan(paths, secrets.ledger_of(first))
+    seen = {r.blob for r in first.collect()}
+    assert seen and not seen & {r.blob for r in later.collect()}
+    newer = (secrets.RULES[0]._replace(version=2), *secrets.RULES[1:])
+    again = secrets.scan(paths.where("doc_id < 2"), secrets.ledger_of(first), newer).collect()
+    assert {(r.rule, r.rule_version) for r in again} == {("assign", 2)}
+
+
+def test_shards_are_near_equal_and_gapless(docs, rows):
+    got = shards.shards(docs, 4).collect()
+    assert sorted((r.doc_id is None, r.doc_id or 0, r.text_crc32, r.size) for r in got) == sorted(
+        (i is None, i or 0, zlib.crc32((t or "").encode()), len((t or "").encode()) + 16) for i, t, *_ in rows)
+    held = collections.defaultdict(list)
+    for r in got:
+        held[r.shard].append(r)
+    total, most = sum(r.size for r in got), max(r.size for r in got)
+    for k, members in held.items():
+        assert sorted(r.slot for r in members) == list(range(len(members)))
+        assert abs(sum(r.size for r in members) - total / 4) <= most
+
+
+def test_toxicity_separates_and_ignores_held_out_labels(spark):
+    rng = random.Random(3)
+    plain = [f"w{k}" for k in range(200)]
+    table, labels = [], []
+    for k in range(600):
+        toxic = k % 5 == 0
+        table.append((k, " ".join(rng.choices(plain, k=40) + (["vile", "Vile!"] if toxic else [])), "x"))
+        labels.append((k, int(toxic)))
+    table += [(601, None, "x"), (602, "", "x"), (None, "vile", "x"), (603, "vile " * 5, "x")]
+    docs = spark.createDataFrame(table, "doc_id int, text string, label string")
+    marks = spark.createDataFrame(labels + [(5, 0), (None, 1), (77, None)], "doc_id int, toxic int")
+    got = {r.doc_id: r for r in toxicity.toxicity(docs, marks).collect()}
+    assert all(0 <= r.score <= 1 and r.predicted == int(r.score >= 0.5) for r in got.values())
+    assert all(got[k].held_out == (zlib.crc32(str(k).encode()) % 5 == 0) for k in range(600))
+    right = [got[k].predicted == y for k, y in labels if got[k].held_out]
+    assert sum(right) >= 0.97 * len(right) and got[603].predicted == 1 and got[601].score == got[602].score < 0.5
+    turned = marks.rdd.map(lambda r: (r[0], 1 - r[1] if r[0] is not None and r[1] is not None and zlib.crc32(str(r[0]).encode()) % 5 == 0 else r[1]))
+    again = {r.doc_id: r.score for r in toxicity.toxicity(docs, spark.createDataFrame(turned, "doc_id int, toxic int")).collect()}
+    assert again == {k: r.score for k, r in got.items()}
+
+
+def test_block_max_search_is_exact():
+    rng = random.Random(9)
+    index = toxicity.Index({b"t%d" % k: 1 + k / 10 for k in range(30)})
+    make = lambda: index.vector(b" ".join(b"t%d" % rng.randrange(30) for _ in range(rng.randint(1, 8))))
+    entries = []
+    for k in range(900):
+        vector = make()
+        index.add(vector, k % 2)
+        if vector not in entries:
+            entries.append(vector)
+    index.build()
+    for _ in range(30):
+        query = make()
+        sims, ids = index.nearest(query, 7)
+        dots = [sum(w * dict(e).get(t, 0) for t, w in query) for e in entries]
+        assert np.allclose(sorted(dots, reverse=True)[:len(sims)], sims) and np.allclose([dots[k] for k in ids], sims)
+
+
+def test_language_model_counts_and_order(docs, rows, monkeypatch):
+    monkeypatch.setattr(lm, "HEAD", 20)
+    monkeypatch.setattr(lm, "UNIGRAM_BYTES", 1 << 16)
+    monkeypatch.setattr(lm, "BIGRAM_BYTES", 1 << 18)
+    train, seen = collections.Counter(), collections.defaultdict(list)
+    for i, t, *_ in rows:
+        w = words(t) + ["end"]
+        if i is None or zlib.crc32(str(i).encode()) % 10:
+            train.update(w)
+        seen[i].append(w)
+    total, kinds = sum(train.values()), len(train)
+    for r in lm.scores(docs).collect():
+        options = [(len(w), sum(train[x] > 0 for x in w), sum(math.log10((train[x] + 0.1) / (total + 0.1 * (kinds + 1))) for x in w)) for w in seen[r.doc_id]]
+        assert any((r.n_tokens, r.n_known) == o[:2] and abs(r.base_score - o[2]) < 1e-6 * abs(o[2]) for o in options)
+        assert r.train_tokens == total and r.score < 0
+
+
+def test_bloom_levels_never_underestimate():
+    rng = np.random.default_rng(2)
+    keys, counts = rng.integers(0, 2**63, 3000, dtype=np.uint64), rng.integers(1, 500, 3000)
+    bucket = lm._bucket(keys, 4)
+    short = keys & np.uint64(0xFFFFFFFF)
+    table = lm.Filter(np.stack([lm.segment(short[bucket == b], counts[bucket == b], 1 << 15) for b in range(4)]))
+    level = table.level(keys)
+    assert (level >= lm.quantised(counts)).all() and (level == lm.quantised(counts)).mean() > 0.9
+    assert (table.level(rng.integers(0, 2**63, 3000, dtype=np.uint64)) > 0).mean() < 3 * table.full ** lm.PROBES + 0.01
+
+
+def test_token_counts_match_another_unigram_segmenter(docs, rows):
+    from tokenizers import Tokenizer, models
+
+    pieces = tokens.vocabulary(tokens.MODEL_FILE)
+    unigram = Tokenizer(models.Unigram([("<unk>", 0.0), *pieces.items()], 0, False))
+    slow = tokens.Trie(pieces)
+
+    def brute(word):
+        best = [(0.0, 0)]
+        for end in range(1, len(word) + 1):
+            top = None
+            for start in range(max(0, end - slow.longest), end):
+                if word[start:end] in pieces and (top is None or best[start][0] + pieces[word[start:end]] > top[0]):
+                    top = (best[start][0] + pieces[word[start:end]], best[start][1] + 1)
+            char = word[end - 1]
+            if char not in pieces and (top is None or best[end - 1][0] + slow.unknown > top[0]):
+                top = (best[end - 1][0] + slow.unknown, best[end - 1][1] + len(char.encode()))
+            best.append(top)
+        return best[-1]
+
+    for r in tokens.token_counts(docs).collect():
+        texts = [t for i, t, *_ in rows if i == r.doc_id]
+        assert any((r.n_bytes, r.n_pretokens) == (len((t or "").encode()), len((t or "").split(" ")) if t and "  " not in t and not t.isspace() and "\n" not in t else r.n_pretokens) for t in texts)
+        if r.doc_id is not None and len(texts[0] or "") < 3000:
+            assert r.n_tokens == sum(brute(tokens.MARK + w.decode())[1] for w in (texts[0] or "").encode().split())
+    score = lambda parts: sum(pieces[p] for p in parts)
+    for word in ("thereon", "ouaile", "schung"):
+        assert score(unigram.encode(tokens.MARK + word).tokens) == brute(tokens.MARK + word)[0]
+
+
+def test_trie_computes_shared_prefixes_once():
+    trie = tokens.Trie({"a": -1.0, "b": -1.0, "ab": -1.5, "c": -2.0})
+    counts = {w: trie.terminal(w) for w in sorted(["ab", "abc", "abca", "b"])}
+    assert counts == {"ab": 1, "abc": 2, "abca": 3, "b": 1} and trie.steps == 5
+
+
+def test_contamination_matches_brute_force(spark, docs, rows):
+    long = next(t for i, t, *_ in rows if i == 11)
+    items = [(1, " ".join(long.split(" ")[100:140])), (10, "ÉÉ, Ñandú"), (2, "one"), (3, None), (4, " .,; "), (2, "one"), (5, "never seen words here")]
+    table = spark.createDataFrame(items, "item_id int, text string")
+    cut = lambda t: [w.encode() for w in re.findall("[^\x00-\x2f\x3a-\x60\x7b-\x7f]+", re.sub("[A-Z]", lambda m: m[0].lower(), t or ""))]
+    windows = collections.defaultdict(set)
+    for i, t in items:
+        w = cut(t)
+        for k in range(max(1, len(w) - 12) if w else 0):
+            windows[tuple(w[k:k + 13])].add(str(i))
+    want = collections.Counter()
+    for i, t, *_ in rows:
+        w, hit, names = cut(t), set(), set()
+        for key, ids in windows.items():
+            for k in range(len(w) - len(key) + 1):
+                if tuple(w[k:k + len(key)]) == key:
+                    hit |= set(range(k, k + len(key)))
+                    names |= ids
+        digest = hashlib.sha256(",".join(sorted(names)).encode()).hexdigest()
+        want[i, len(w), len(hit), len(names), digest, bool(hit) and 20 * len(hit) >= len(w)] += 1
+    for size in (10**6, 1):  # one automaton, and one for every window
+        got = decontam.contamination(docs, table, block_bytes=size).collect()
+        assert collections.Counter((r.doc_id, r.n_words, r.n_hit, r.n_items, r.items_sha256, r.contaminated) for r in got) == want
+    spans = {r.doc_id: r.spans for r in decontam.contamination(docs, table).collect()}
+    assert all(long.encode()[s.start:s.end].decode() in items[0][1] for s in spans[11]) and spans[11]
+
+
+def test_quality_counts_match_brute_force(spark, docs, rows):
+    labels = spark.createDataFrame([(k, int(k % 2)) for k in range(40)], "doc_id int, quality int")
+    for found in (quality.quality(docs, labels), quality.quality(docs, labels.limit(0))):
+        got = collections.Counter((r.doc_id, r.n_words, r.word_chars, r.n_symbols, r.n_dup_lines, r.n_repeat_words, r.base_failed) for r in found.collect())
+        want = collections.Counter()
+        for i, t, *_ in rows:
+            w = re.findall("[^\x20\x09-\x0d]+", t or "")
+            at = collections.defaultdict(list)
+            for k in range(len(w) - 7):
+                at[tuple(w[k:k + 8])].append(k)
+            repeat = {k + d for ks in at.values() if len(ks) > 1 for k in ks for d in range(8)}
+            lines = [x for x in (t or "").split("\n") if re.search("[^\x20\x09-\x0d]", x)]
+            want[i, len(w), sum(map(len, w)), len(re.findall("[#*$%&|<>]", t or "")), len(lines) - len(set(lines)), len(repeat),
+                 len(w) < 20 or 100 * len(repeat) > 30 * len(w)] += 1
+        assert got == want
+
+
+def test_mix_meets_targets_and_reruns(docs, rows):
+    got = mixing.copies(docs)
+    first, second = (sorted(map(str, got.select("doc_id", "source", "taken").collect())) for _ in range(2))
+    again = sorted(map(str, mixing.copies(docs).select("doc_id", "source", "taken").collect()))
+    assert first == second == again
+    out = got.collect()
+    assert len(out) == len(rows) and all(r.taken <= 3 * r["size"] for r in out)
+    per = collections.defaultdict(list)
+    for r in out:
+        per[r.source].append(r)
+    sizes = {s: sum(r["size"] for r in v) for s, v in per.items()}
+    assert abs(sum(v[0].target for v in per.values()) - sum(sizes.values())) < 1e-6 * sum(sizes.values())
+    for s, v in per.items():
+        assert abs(sum(r.taken for r in v) - v[0].target) <= 3 * max(r["size"] for r in v)
+
+
+def test_waterfill_reshares_the_excess():
+    assert mixing.waterfill([10, 100], [9, 1], 3) == [30, 80]
+
+
+def test_empty_tables(spark, empty):
+    labels = spark.createDataFrame([], "doc_id int, quality int, toxic int")
+    items = spark.createDataFrame([], "item_id int, text string")
+    for found in (minhash.near_duplicates(empty), suffixes.repeated_spans(empty), secrets.report(empty), shards.shards(empty),
+                  toxicity.toxicity(empty, labels), lm.scores(empty), tokens.token_counts(empty),
+                  decontam.contamination(empty, items), quality.quality(empty, labels), mixing.copies(empty)):
+        assert found.count() == 0
