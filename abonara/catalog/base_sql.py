@@ -67,15 +67,26 @@ fragment("profiled", "snap", """
       CASE WHEN coalesce(bb_nm, '') = '' THEN 0 ELSE 1 END AS rgu_bb
     FROM snap) f""")
 
+REPAIR = """
+  SELECT *, CASE WHEN is_jump = 1 THEN prev_age + 1
+       WHEN age IS NULL AND next_age = prev_age + 2 THEN prev_age + 1{extra} ELSE age END AS age_fix
+  FROM (SELECT *, CASE WHEN (age - prev_age > 2 AND age - next_age > 2)
+            OR (age - prev_age < -2 AND age - next_age < -2) THEN 1 ELSE 0 END AS is_jump
+    FROM (SELECT *, lag(age) OVER w AS prev_age, lead(age) OVER w AS next_age
+          FROM snap WINDOW w AS (PARTITION BY account ORDER BY dt)) n) j"""
+fragment("repaired", "snap", REPAIR.format(extra=""))
+fragment("repaired_strict", "snap", REPAIR.format(
+    extra=" WHEN prev_age IS NULL AND next_age IS NULL THEN NULL"))
+
 fragment("account_firsts", "snap", """
   SELECT account, min(dt) AS start_dt, max(inst_dt) AS max_inst_dt FROM snap GROUP BY account""")
 
-fragment("closing", "profiled account_firsts", f"""
+fragment("closing", "profiled repaired account_firsts", f"""
   SELECT c.* EXCLUDE (nth), start_dt, max_inst_dt,
     CAST(datesub('month', start_dt, dt) AS INTEGER) AS tenure
-  FROM (SELECT *, {q('dt')} AS period,
+  FROM (SELECT p.*, age_fix, {q('dt')} AS period,
           row_number() OVER (PARTITION BY account, {q('dt')} ORDER BY dt DESC) AS nth
-        FROM profiled) c
+        FROM profiled p JOIN (SELECT account, dt, age_fix FROM repaired) r USING (account, dt)) c
   JOIN account_firsts USING (account) WHERE nth = 1""")
 
 fragment("service_orders", "", f"""
@@ -164,7 +175,9 @@ fragment("install_orders", "", f"""
 
 fragment("usage", "", """
   SELECT CAST(user_id AS VARCHAR) AS account, CAST(ts AS DATE) AS dt,
-    CAST(max(round(value, 0)) AS INTEGER) AS age, max(round(value, 2)) AS mrc
+    CAST(max(round(value, 0)) AS INTEGER) AS age, max(round(value, 2)) AS mrc,
+    count(*) FILTER (WHERE event_type = 'view') AS views, count(*) FILTER (WHERE event_type = 'click') AS clicks,
+    count(*) FILTER (WHERE event_type = 'error') AS errors
   FROM events GROUP BY ALL""")
 
 fragment("dims", "", """

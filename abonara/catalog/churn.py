@@ -55,6 +55,15 @@ def _(inputs):
     return E.involuntary(T.brackets(inputs), 90, "quarter")
 
 
+@case("involuntary_churners_from_boundary_days", "E4", "brackets", f"""
+  SELECT n.period, n.account, '{V.FIXED_INVOLUNTARY}' AS involuntary, n.last_age
+  FROM brackets n JOIN brackets p ON p.account = n.account AND {NEXT.format('p.period')} = n.period
+  WHERE p.last_dt = n.period - 1
+    AND (p.last_age < 90 OR p.last_unpaid_days < 90) AND (n.last_age >= 90 OR n.last_unpaid_days >= 90)""")
+def _(inputs):
+    return E.involuntary(T.brackets(inputs), 90, "quarter", "last")
+
+
 fragment("reached", "inactive snap", f"""
   SELECT i.period, i.account, max(age) AS max_age, '{V.FIXED_INVOLUNTARY}' AS involuntary
   FROM inactive i JOIN snap s ON s.account = i.account AND {q('dt')} = i.period
@@ -115,12 +124,14 @@ def _(inputs):
 
 
 fragment("contract_moves", "movement_log", f"""
-  SELECT DISTINCT {LAST10.format('CAST(contract AS VARCHAR)')} AS key, {q('day')} AS period,
+  SELECT DISTINCT {LAST10.format('CAST(contract AS VARCHAR)')} AS key, period,
     first_value(code) OVER up AS first_code, first_value(kind) OVER up AS first_kind,
     first_value(code) OVER down AS last_code, first_value(kind) OVER down AS last_kind,
     first_value(description) OVER down AS last_description, first_value(day) OVER down AS last_day
-  FROM movement_log WINDOW up AS (PARTITION BY contract, {q('day')} ORDER BY day, seq),
-    down AS (PARTITION BY contract, {q('day')} ORDER BY day DESC, seq DESC)""")
+  FROM (SELECT *, {q('day')} AS period FROM movement_log UNION ALL
+        SELECT *, {q('day + 1')} AS period FROM movement_log WHERE {q('day + 1')} <> {q('day')}) l
+  WINDOW up AS (PARTITION BY contract, period ORDER BY day, seq),
+    down AS (PARTITION BY contract, period ORDER BY day DESC, seq DESC)""")
 
 
 @case("contract_movements", "E8", "contract_moves", "SELECT * FROM contract_moves")
@@ -255,15 +266,15 @@ def _(inputs):
 
 
 _sides = ",\n".join(
-    f"CASE WHEN b.age < 90 OR b.age IS NULL THEN b.{c} END AS b_{c}, "
-    f"CASE WHEN e.age <= 90 OR e.age IS NULL THEN e.{c} END AS e_{c}" for c in PAIR_COLUMNS)
+    f"CASE WHEN b.age_fix < 90 OR b.age_fix IS NULL OR b.dt - b.unpaid_dt < 90 THEN b.{c} END AS b_{c}, "
+    f"CASE WHEN e.age_fix <= 90 OR e.age_fix IS NULL OR e.dt - e.unpaid_dt <= 90 THEN e.{c} END AS e_{c}" for c in PAIR_COLUMNS)
 
 fragment("fixed_state", "closing", f"""
   SELECT coalesce(b.next_period, e.period) AS period, coalesce(b.account, e.account) AS account,
-    CAST(b.account IS NOT NULL AND (b.age < 90 OR b.age IS NULL) AS INTEGER) AS active_bom,
-    CAST(e.account IS NOT NULL AND (e.age <= 90 OR e.age IS NULL) AS INTEGER) AS active_eom,
-    b.dt AS b_date, e.dt AS e_date, coalesce(b.age < 90 AND e.age >= 90, false) AS crossed,
-    coalesce(e.age <= 90 OR (e.account IS NOT NULL AND e.age IS NULL
+    CAST(b.account IS NOT NULL AND (b.age_fix < 90 OR b.age_fix IS NULL OR b.dt - b.unpaid_dt < 90) AS INTEGER) AS active_bom,
+    CAST(e.account IS NOT NULL AND (e.age_fix <= 90 OR e.age_fix IS NULL OR e.dt - e.unpaid_dt <= 90) AS INTEGER) AS active_eom,
+    b.dt AS b_date, e.dt AS e_date, coalesce((b.age_fix < 90 OR b.dt - b.unpaid_dt < 90) AND (e.age_fix >= 90 OR e.dt - e.unpaid_dt >= 90), false) AS crossed,
+    coalesce(e.age_fix <= 90 OR (e.account IS NOT NULL AND e.age_fix IS NULL
         AND {q('e.last_pay_dt')} = e.period), false) AS paying,
     {_sides}
   FROM (SELECT *, CAST(period + INTERVAL '3' MONTH AS DATE) AS next_period FROM closing) b

@@ -199,14 +199,15 @@ def _(inputs):
 
 
 fragment("weekly", "usage", f"""
-  SELECT account, {wk('dt')} AS period, CAST(least(3, count(*)) AS INTEGER) AS rgus, max(mrc) AS mrc, max(age) AS age
+  SELECT account, {wk('dt')} AS period, CAST((sum(views) > 0)::INTEGER + (sum(clicks) > 0)::INTEGER
+    + (sum(errors) > 0)::INTEGER AS INTEGER) AS rgus, max(mrc) AS mrc, max(age) AS age
   FROM usage GROUP BY 1, 2""")
 fragment("week_base", "weekly dims", """
   SELECT w.account, w.account AS fixed_account, w.period, segment, province, w.rgus, p.mrc AS b_total_mrc,
     round(w.mrc - p.mrc, 2) AS mrc_change, CAST(p.age // 50 AS VARCHAR) AS b_plan,
     CAST(w.age // 50 AS VARCHAR) AS e_plan, CAST(p.age // 50 AS VARCHAR) AS b_plan_full,
     CAST(w.age // 50 AS VARCHAR) AS e_plan_full,
-    CASE WHEN w.period = DATE '2024-01-29' OR n.account IS NOT NULL THEN 'Non Churner'
+    CASE WHEN w.period >= DATE '2024-01-29' OR n.account IS NOT NULL THEN 'Non Churner'
          ELSE 'Fixed Churner' END AS final_churn_flag
   FROM weekly w JOIN dims d ON d.account = w.account
   LEFT JOIN weekly p ON p.account = w.account AND p.period + 7 = w.period

@@ -32,18 +32,6 @@ def _(inputs):
         D.last_non_null(F.col("age"), F.col("dt")).alias("last_known"))
 
 
-REPAIR = """
-  SELECT *, CASE WHEN is_jump = 1 THEN prev_age + 1
-       WHEN age IS NULL AND next_age = prev_age + 2 THEN prev_age + 1{extra} ELSE age END AS age_fix
-  FROM (SELECT *, CASE WHEN (age - prev_age > 2 AND age - next_age > 2)
-            OR (age - prev_age < -2 AND age - next_age < -2) THEN 1 ELSE 0 END AS is_jump
-    FROM (SELECT *, lag(age) OVER w AS prev_age, lead(age) OVER w AS next_age
-          FROM snap WINDOW w AS (PARTITION BY account ORDER BY dt)) n) j"""
-fragment("repaired", "snap", REPAIR.format(extra=""))
-fragment("repaired_strict", "snap", REPAIR.format(
-    extra=" WHEN prev_age IS NULL AND next_age IS NULL THEN NULL"))
-
-
 @case("repaired_ages", "C3", "repaired", """
   SELECT account, dt, age, prev_age, next_age, is_jump, age_fix FROM repaired""")
 def _(inputs):

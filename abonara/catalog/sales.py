@@ -43,7 +43,8 @@ def _(inputs):
 
 @case("new_by_connect_date", "G4", "snap", f"""
   SELECT account, connect_dt, {q('connect_dt')} AS install_period
-  FROM (SELECT account, arg_max(inst_dt, dt) AS connect_dt FROM snap GROUP BY account) c
+  FROM (SELECT account, arg_max(inst_dt, dt) AS connect_dt FROM snap
+        WHERE dt < DATE '2001-10-01' AND inst_dt BETWEEN DATE '2000-10-01' AND DATE '2001-09-30' GROUP BY account) c
   WHERE {q('connect_dt')} = DATE '2001-01-01'""")
 def _(inputs):
     return G.new_by_connect(inputs.snap, P.day("2001-07-01"), 2, "quarter")

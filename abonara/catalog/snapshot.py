@@ -53,8 +53,8 @@ fragment("pair", "closing", f"""
     CAST(b.account IS NOT NULL AS INTEGER) AS active_bom,
     CAST(e.account IS NOT NULL AS INTEGER) AS active_eom, {_b}, {_e}
   FROM (SELECT *, CAST(period + INTERVAL '3' MONTH AS DATE) AS next_period FROM closing
-        WHERE age < 90 OR age IS NULL) b
-  FULL JOIN (SELECT * FROM closing WHERE age <= 90 OR age IS NULL) e
+        WHERE age_fix < 90 OR age_fix IS NULL OR dt - unpaid_dt < 90) b
+  FULL JOIN (SELECT * FROM closing WHERE age_fix <= 90 OR age_fix IS NULL OR dt - unpaid_dt <= 90) e
     ON b.account = e.account AND b.next_period = e.period""")
 
 _shown = """period, account, active_bom, active_eom, b_date, e_date, b_num_rgus, e_num_rgus,
@@ -63,14 +63,14 @@ _shown = """period, account, active_bom, active_eom, b_date, e_date, b_num_rgus,
 
 @case("paired_snapshots", "D3", "pair", f"SELECT {_shown} FROM pair")
 def _(inputs):
-    bom = S.bom_snapshot(inputs.closing, MONTH_COLUMNS, "quarter", 90, None)
-    eom = S.eom_snapshot(inputs.closing, MONTH_COLUMNS, "quarter", 90, None)
+    bom = S.bom_snapshot(inputs.closing, MONTH_COLUMNS, "quarter", 90, None, "age_fix", "unpaid_dt")
+    eom = S.eom_snapshot(inputs.closing, MONTH_COLUMNS, "quarter", 90, None, "age_fix", "unpaid_dt")
     return S.pair_snapshots(bom, eom)
 
 
 @case("paired_in_one_pass", "D1 D2 D3", "pair", f"SELECT {_shown} FROM pair")
 def _(inputs):
-    return S.pair_closing_rows(inputs.closing, MONTH_COLUMNS, "quarter", 90)
+    return S.pair_closing_rows(inputs.closing, MONTH_COLUMNS, "quarter", 90, "age_fix", "unpaid_dt")
 
 
 MOVEMENT_CASE = f"""CASE WHEN e_num_rgus = b_num_rgus THEN '01. Same RGUs'

@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from abonara.functions import values as V
-from abonara.functions.calendar import period_of, shift_period
+from abonara.functions.calendar import boundary_day, period_of, shift_period
 from abonara.functions.profile import flag, last10, movement_reason
 from abonara.functions.rules import any_of, first_match
 from abonara.operators.dedup import first_by
@@ -54,20 +54,28 @@ def record_brackets(daily: DataFrame, grain: str = "month", age: str = "age_fix"
                  F.max_by(F.datediff("dt", F.col(unpaid)), "dt").alias("last_unpaid_days")))
 
 
-def involuntary(brackets: DataFrame, days: int = 90, grain: str = "month") -> DataFrame:
+def crossed(age_before: Column, unpaid_before: Column, age: Column, unpaid: Column, days: int = 90) -> Column:
+    """Below ``days`` at the start and at or above it at the end; the days since the oldest
+    unpaid bill can overrule a stuck age on either side."""
+    return ((age_before < days) | (unpaid_before < days)) & ((age >= days) | (unpaid >= days))
+
+
+def involuntary(brackets: DataFrame, days: int = 90, grain: str = "month",
+                boundary: str | None = None) -> DataFrame:
     """Accounts that were below ``days`` at the start and at or above it at the end.
 
-    The start is the last record of the previous period. The unpaid date can overrule a
-    stuck age on either side. One ordered pass per account replaces a self join; an
+    The start is the last record of the previous period; with ``boundary`` it must lie on
+    that boundary day. See :func:`crossed`. One ordered pass per account replaces a self join; an
     account has one row per period there.
     """
     by_period = Window.partitionBy("account").orderBy("period")
-    before = F.lag(F.struct("period", "last_age", "last_unpaid_days")).over(by_period)
+    before = F.lag(F.struct("period", "last_dt", "last_age", "last_unpaid_days")).over(by_period)
     joined = brackets.withColumn("_before", before).where(
         shift_period(F.col("_before.period"), 1, grain) == F.col("period"))
-    started_below = (F.col("_before.last_age") < days) | (F.col("_before.last_unpaid_days") < days)
-    ended_above = (F.col("last_age") >= days) | (F.col("last_unpaid_days") >= days)
-    return joined.where(started_below & ended_above).select(
+    if boundary is not None:
+        joined = joined.where(boundary_day(F.col("_before.last_dt"), boundary, grain))
+    return joined.where(crossed(F.col("_before.last_age"), F.col("_before.last_unpaid_days"),
+                                F.col("last_age"), F.col("last_unpaid_days"), days)).select(
         "period", "account", F.lit(V.FIXED_INVOLUNTARY).alias("involuntary"), "last_age")
 
 
@@ -114,17 +122,20 @@ def threshold_churn(lost: DataFrame, reached: DataFrame, early: DataFrame) -> Da
         ], V.FIXED_VOLUNTARY).alias("churn_type")))
 
 
-def contract_movements(log: DataFrame, grain: str = "month") -> DataFrame:
+def contract_movements(log: DataFrame, grain: str = "month", lead: int = 1) -> DataFrame:
     """First and last movement of each contract and period of the movement log.
 
+    The ``lead`` days before a period belong to it as well, so an entry of those days
+    counts in both periods.
+
     ``log`` has contract, day, code, kind, description and a sequence that orders
     entries of one day. The key is the normalized contract id.
     """
     entry = F.struct("code", "kind", "description", F.col("day").alias("day"))
     order = F.struct("day", "seq")
+    periods = F.array_distinct(F.array(period_of(F.col("day"), grain), period_of(F.date_add("day", lead), grain)))
     return (
-        log.groupBy(last10(F.col("contract")).alias("key"),
-                    period_of(F.col("day"), grain).alias("period"))
+        log.withColumn("period", F.explode(periods)).groupBy(last10(F.col("contract")).alias("key"), "period")
         .agg(F.min_by(entry, order).alias("f"), F.max_by(entry, order).alias("l"))
         .select("key", "period",
                 F.col("f.code").alias("first_code"), F.col("f.kind").alias("first_kind"),
@@ -207,7 +218,7 @@ def mobile_churn(pair: DataFrame, movements: DataFrame, grain: str = "month") ->
             .drop("_type"))
 
 
-def _labels(mapping: dict[str, str], key: Column) -> Column:
+def type_labels(mapping: dict[str, str], key: Column) -> Column:
     return first_match([(key == k, v) for k, v in mapping.items()])
 
 
@@ -225,7 +236,7 @@ def rejoiners(churned: DataFrame, ages: DataFrame, days: int = 90, grain: str =
     left = churned.where(F.col("churn_type").isNotNull()).select(
         "account", shift_period(F.col("period"), 1, grain).alias("period"), "churn_type")
     return left.join(present, KEYS, "left_semi").select(
-        "period", "account", _labels(V.FIXED_REJOINERS, F.col("churn_type")).alias("rejoiner_type"))
+        "period", "account", type_labels(V.FIXED_REJOINERS, F.col("churn_type")).alias("rejoiner_type"))
 
 
 def mobile_rejoiners(churned: DataFrame, grain: str = "month") -> DataFrame:
@@ -238,7 +249,7 @@ def mobile_rejoiners(churned: DataFrame, grain: str = "month") -> DataFrame:
     return (churned.withColumn("_before", before)
             .withColumn("mobile_rejoiner_type", F.when(
                 shift_period(F.col("_before.period"), 1, grain) == F.col("period"),
-                _labels(V.MOBILE_REJOINERS, F.col("_before.mobile_churn_type"))))
+                type_labels(V.MOBILE_REJOINERS, F.col("_before.mobile_churn_type"))))
             .drop("_before"))
 
 

@@ -221,7 +221,8 @@ def driver_summary(df: DataFrame, dims: Sequence[str], flags: Sequence[str], sum
         *[F.sum(s).alias(s) for s in sums])
 
 
-def without_churners(df: DataFrame, labels: Sequence[str] = ("Fixed Churner", "Full Churner")) -> DataFrame:
+def without_churners(df: DataFrame, labels: Sequence[str] = (
+        "Fixed Churner", "Full Churner", "Customer Gap", "Churn Exception")) -> DataFrame:
     """Drop churned rows; a null churn flag drops the row as well, as ``<>`` does."""
     return df.where(~F.col("final_churn_flag").isin(*labels))
 

@@ -43,9 +43,15 @@ def new_by_first_seen(snap: DataFrame, period: Column, back: int = 6, ahead: int
 
 
 def new_by_connect(snap: DataFrame, period: Column, back: int = 0, grain: str = "month",
-                   connect: str = "inst_dt") -> DataFrame:
-    """Accounts whose latest known connect date lies in the period ``back`` before."""
-    latest = snap.groupBy("account").agg(F.max_by(connect, "dt").alias("connect_dt"))
+                   connect: str = "inst_dt", span: int = 3) -> DataFrame:
+    """Accounts whose latest known connect date lies in the period ``back`` before.
+
+    Only rows up to the end of the period with a connect date in it or in the ``span``
+    periods before count, so a later run of an old period gives the same answer.
+    """
+    end = F.date_sub(shift_period(period, 1, grain), 1)
+    seen = snap.where((F.col("dt") <= end) & F.col(connect).between(shift_period(period, -span, grain), end))
+    latest = seen.groupBy("account").agg(F.max_by(connect, "dt").alias("connect_dt"))
     return latest.where(in_period(F.col("connect_dt"), shift_period(period, -back, grain), grain)).withColumn(
         "install_period", period_of(F.col("connect_dt"), grain))
 

@@ -12,7 +12,9 @@ from abonara.functions.rules import first_match
 from abonara.operators.dedup import keep_one
 
 
-def _old_enough(age: Column, max_age: int, inclusive: bool, unpaid_days: Column | None) -> Column:
+def _old_enough(age: Column, max_age: int | None, inclusive: bool, unpaid_days: Column | None) -> Column:
+    if max_age is None:
+        return F.lit(True)
     below = (lambda c: c <= max_age) if inclusive else (lambda c: c < max_age)
     kept = below(age) | age.isNull()
     return kept if unpaid_days is None else kept | below(unpaid_days)
@@ -69,9 +71,11 @@ def pair_snapshots(bom: DataFrame, eom: DataFrame, keys: Sequence[str] = ("perio
 
 
 def pair_closing_rows(closing: DataFrame, columns: Sequence[str], grain: str = "month",
-                      max_age: int = 90, age: str = "age", unpaid: str | None = None) -> DataFrame:
+                      max_age: int | None = 90, age: str = "age", unpaid: str | None = None) -> DataFrame:
     """Same result as opening, closing and pairing, from one pass over ``closing``.
 
+    ``max_age=None`` keeps rows of every age.
+
     Each closing row plays two roles, end of its period and start of the next. The roles
     are exploded and regrouped, so the input is computed once; the three-step form reads
     it twice. A key has at most one row per role, so a group never exceeds two rows.

@@ -13,7 +13,8 @@ from abonara.plans.fixtures import Inputs
 
 GRAIN = "week"
 TECHNICAL, BILLING, EXCLUDED = ("error",), ("purchase",), ("view",)
-LAST_WEEK = "2024-01-29"
+#: The week in which the supplied events end.
+AS_OF = "2024-01-29"
 DRIVER_FLAGS = ["sales", "soft_dx", "long_install", "early_contact", "early_ticket", "bill_claim",
                 "bill_shock", "no_plan_change", "mounting_bill"]
 CONTACT_FLAGS = ["one_call", "two_calls", "more_calls", "one_ticket", "two_tickets", "more_tickets", "failed"]
@@ -39,15 +40,19 @@ def sales(inputs: Inputs) -> DataFrame:
     return inputs.bills.groupBy("account").agg(F.min("dt").alias("sale_day"))
 
 
-def base(inputs: Inputs) -> DataFrame:
-    """Weekly account base with dimensions, RGUs, charge change, plans and churn flag."""
+def base(inputs: Inputs, as_of: str = AS_OF) -> DataFrame:
+    """Weekly account base with dimensions, RGUs, charge change, plans and churn flag.
+
+    RGUs are the services that the account held in the week. From the week of ``as_of`` on
+    nobody can be seen to leave, so no row of it is a churner.
+    """
     weekly = inputs.usage.groupBy("account", period_of(F.col("dt"), GRAIN).alias("period")).agg(
-        F.least(F.lit(3), F.count("*")).cast("int").alias("rgus"),
+        (F.max("rgu_bb") + F.max("rgu_tv") + F.max("rgu_vo")).alias("rgus"),
         F.max("mrc").alias("mrc"), F.max("age").alias("age"))
     by_week = Window.partitionBy("account").orderBy("period")
     before = F.lag(F.struct("period", "mrc", "age")).over(by_week)
     after = F.lead("period").over(by_week)
-    last = F.col("period") == F.to_date(F.lit(LAST_WEEK))
+    last = F.col("period") >= F.to_date(F.lit(as_of))
     stays = last | (after == shift_period(F.col("period"), 1, GRAIN))
     rows = weekly.withColumns({"_p": before, "_stays": F.coalesce(stays, F.lit(False))})
     neighbour = shift_period(F.col("_p.period"), 1, GRAIN) == F.col("period")
@@ -71,7 +76,7 @@ def mounting(inputs: Inputs) -> DataFrame:
     return I.mounting_bill(inputs.usage, 60, GRAIN, age="age").where("mounting_bill = 1")
 
 
-def driver_table(inputs: Inputs) -> DataFrame:
+def driver_table(inputs: Inputs, as_of: str = AS_OF) -> DataFrame:
     """Account-week base with every driver flag, joined once."""
     sold = sales(inputs)
     flags = {
@@ -83,10 +88,10 @@ def driver_table(inputs: Inputs) -> DataFrame:
         "bill_claim": I.bill_claims(contacts(inputs), BILLING, GRAIN),
         "mounting_bill": mounting(inputs),
     }
-    return I.attach_flags(I.bill_shock(base(inputs)), flags)
+    return I.attach_flags(I.bill_shock(base(inputs, as_of)), flags)
 
 
-def contact_table(inputs: Inputs) -> DataFrame:
+def contact_table(inputs: Inputs, as_of: str = AS_OF) -> DataFrame:
     """Account-week base with every contact flag and the ticket count."""
     deduped = contacts(inputs)
     callers = I.repeat_callers(deduped, 7, EXCLUDED, GRAIN)
@@ -96,7 +101,7 @@ def contact_table(inputs: Inputs) -> DataFrame:
               for n, t in (("one_ticket", "1"), ("two_tickets", "2"), ("more_tickets", "3+"))}
     flags["failed"] = I.failed_visits(deduped, GRAIN)
     density = I.ticket_density(deduped, TECHNICAL, GRAIN)
-    return I.attach_flags(base(inputs), flags).join(density, ["account", "period"], "left")
+    return I.attach_flags(base(inputs, as_of), flags).join(density, ["account", "period"], "left")
 
 
 def driver_summary(inputs: Inputs, dims=("period", "segment")) -> DataFrame:

@@ -18,7 +18,7 @@ from abonara.functions import values as V
 from abonara.functions.calendar import complete_months, period_of
 from abonara.functions.profile import flag, oldest_unpaid, product_mix, rgu_count, rgu_flags, tech_flag
 from abonara.functions.rules import first_match
-from abonara.operators.dedup import keep_one
+from abonara.operators.dedup import keep_one, repair_age
 from abonara.sources.tables import read_table
 
 #: Which part types stand for which product line.
@@ -116,16 +116,20 @@ class Inputs:
 
     @cached_property
     def closing(self) -> DataFrame:
-        """Last profiled row per account and quarter, with account firsts and tenure.
+        """Last profiled row per account and quarter, with repaired age, account firsts and tenure.
+
+        The rows of an account meet once: repair, period aggregate and look-backs all use
+        that partitioning.
 
         The period aggregate also carries the period's first day, latest installation and
         the lines held at any time, so the account-wide values are a window over period
         rows, not further scans of the snapshot.
         """
-        columns = [c for c in self.profiled.columns if c != "account"]
+        daily = repair_age(self.profiled).drop("prev_age", "next_age", "is_jump")
+        columns = [c for c in daily.columns if c != "account"]
         named = lambda c: flag(F.col(c).isNotNull())
         held = lambda c: flag(F.count(c) > 0)
-        by_period = self.profiled.groupBy(
+        by_period = daily.groupBy(
             "account", period_of(F.col("dt"), "quarter").alias("period")
         ).agg(F.max_by(F.struct(*columns), "dt").alias("last"),
               F.min("dt").alias("_first"), F.max("inst_dt").alias("_inst"),
@@ -286,11 +290,16 @@ class Inputs:
 
     @cached_property
     def usage(self) -> DataFrame:
-        """Daily account rows of the event family: any event shows the account that day."""
+        """Daily account rows of the event family: any event shows the account that day.
+
+        Three kinds of event stand for the three services that the account held that day.
+        """
+        held = lambda kind: F.max(flag(F.col("event_type") == kind))
         return self.table("events").groupBy(
             F.col("user_id").cast("string").alias("account"), F.to_date("ts").alias("dt")
         ).agg(F.max(F.round(F.col("value"), 0)).cast("int").alias("age"),
-              F.max(F.round("value", 2)).alias("mrc"))
+              F.max(F.round("value", 2)).alias("mrc"), held("view").alias("rgu_bb"),
+              held("click").alias("rgu_tv"), held("error").alias("rgu_vo"))
 
     @cached_property
     def dims(self) -> DataFrame:

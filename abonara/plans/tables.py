@@ -21,12 +21,12 @@ from abonara.plans.fixtures import Inputs
 from abonara.session import written
 
 GRAIN = "quarter"
-PAIR_COLUMNS = ["num_rgus", "mix", "age", "bill_amt", "vo_nm", "tv_nm", "bb_nm", "tenure",
+PAIR_COLUMNS = ["num_rgus", "mix", "age", "age_fix", "bill_amt", "vo_nm", "tv_nm", "bb_nm", "tenure",
                 "start_dt", "max_inst_dt", "tech"]
 
 
 def pairs(inputs: Inputs) -> DataFrame:
-    return S.pair_closing_rows(inputs.closing, PAIR_COLUMNS, GRAIN, 90)
+    return S.pair_closing_rows(inputs.closing, PAIR_COLUMNS, GRAIN, 90, "age_fix", "unpaid_dt")
 
 
 def movements(inputs: Inputs) -> DataFrame:
@@ -80,14 +80,14 @@ def fixed_table(inputs: Inputs, days: int = 90) -> DataFrame:
     type of the previous period is one look back per account. The snapshot is read once.
     """
     state = S.pair_closing_rows(
-        inputs.closing.withColumn("_live", F.col("age").isNull() | (F.col("age") <= days)),
-        PAIR_COLUMNS + ["last_pay_dt", "_live", "held_rgus", "first_rgus"], GRAIN, max_age=100_000)
-    b_age, e_age = F.col("b_age"), F.col("e_age")
-    opens = F.col("b_date").isNotNull() & (b_age.isNull() | (b_age < days))
-    closes = F.col("e_date").isNotNull() & F.col("e__live")
+        inputs.closing.withColumn("_unpaid", F.datediff("dt", "unpaid_dt")),
+        PAIR_COLUMNS + ["last_pay_dt", "_unpaid", "held_rgus", "first_rgus"], GRAIN, max_age=None)
+    b_age, e_age = F.col("b_age_fix"), F.col("e_age_fix")
+    opens = F.col("b_date").isNotNull() & (b_age.isNull() | (b_age < days) | (F.col("b__unpaid") < days))
+    closes = F.col("e_date").isNotNull() & (e_age.isNull() | (e_age <= days) | (F.col("e__unpaid") <= days))
     pair = state.withColumns({
         "active_bom": P.flag(opens), "active_eom": P.flag(closes),
-        "_crossed": F.coalesce((b_age < days) & (e_age >= days), F.lit(False)),
+        "_crossed": F.coalesce(E.crossed(b_age, F.col("b__unpaid"), e_age, F.col("e__unpaid"), days), F.lit(False)),
         "_paying": F.coalesce((e_age <= days) | (e_age.isNull() & (
             period_of(F.col("e_last_pay_dt"), GRAIN) == F.col("period"))), F.lit(False)),
     })
@@ -104,7 +104,7 @@ def fixed_table(inputs: Inputs, days: int = 90) -> DataFrame:
     before = F.lag(F.struct("period", "churn_type")).over(by_period)
     typed = typed.withColumn("_before", before).withColumn("rejoiner_type", F.when(
         (shift_period(F.col("_before.period"), 1, GRAIN) == F.col("period")) & F.col("_paying"),
-        E._labels(V.FIXED_REJOINERS, F.col("_before.churn_type"))))
+        E.type_labels(V.FIXED_REJOINERS, F.col("_before.churn_type"))))
     first_rgus = F.coalesce("b_first_rgus", "e_first_rgus")
     return (
         typed.where("active_bom = 1 OR active_eom = 1 OR churn_type IS NOT NULL")
@@ -117,7 +117,7 @@ def fixed_table(inputs: Inputs, days: int = 90) -> DataFrame:
             "b_plan": P.plan_fingerprint("b_"), "e_plan": P.plan_fingerprint("e_"),
         })
         .drop("_before", "_crossed", "_paying", *[
-            f"{s}_{c}" for s in "be" for c in ("_live", "last_pay_dt", "held_rgus", "first_rgus")]))
+            f"{s}_{c}" for s in "be" for c in ("_unpaid", "last_pay_dt", "held_rgus", "first_rgus")]))
 
 
 def near_mobile(inputs: Inputs) -> DataFrame:

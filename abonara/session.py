@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
+from functools import cache
 from uuid import uuid4
 
 from pyspark.sql import DataFrame, SparkSession
@@ -44,16 +46,21 @@ def local_session(cores: str = "8", app: str = "abonara") -> SparkSession:
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """The shared folder named by the cluster, or a scratch folder in local mode."""
+    """The shared folder named by the cluster; a scratch folder only where all is one process.
+
+    The scratch folder is made once for the process.
+    """
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if configured:
-        spark.sparkContext.setCheckpointDir(configured)
         return configured
-    if not spark.sparkContext.master.startswith("local"):
+    if not re.fullmatch(r"local(\[[^]]*\])?", spark.conf.get("spark.master", "")):
         raise ValueError("set spark.checkpoint.dir to a shared folder")
-    folder = tempfile.mkdtemp(prefix="abonara-checkpoint-")
-    spark.sparkContext.setCheckpointDir(folder)
-    return folder
+    return _scratch_folder()
+
+
+@cache
+def _scratch_folder() -> str:
+    return tempfile.mkdtemp(prefix="abonara-checkpoint-")
 
 
 def written(df: DataFrame, name: str) -> DataFrame:
