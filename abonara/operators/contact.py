@@ -182,11 +182,13 @@ def truckroll_match(contacts: DataFrame, truckrolls: DataFrame) -> DataFrame:
 
     The script filters on the contact purpose after the join and so loses unmatched truck
     rolls; here the caller filters the contacts. Truck rolls are reduced to one row per
-    account and day (first job and number of jobs) so that no day multiplies.
+    account and day (first job and number of jobs) so that no day multiplies. A left join and
+    the jobs without a contact stand for the full join, whose hot keys could not be split.
     """
     jobs = truckrolls.groupBy("account", "day").agg(F.min("job").alias("job"), F.count("*").alias("jobs"))
     lowered = contacts.withColumn("purpose_text", F.lower("purpose_text"))
-    joined = lowered.join(jobs, ["account", "day"], "full")
+    alone = jobs.join(lowered.select("account", "day").distinct(), ["account", "day"], "left_anti")
+    joined = lowered.join(jobs, ["account", "day"], "left").unionByName(alone, allowMissingColumns=True)
     return joined.withColumn("contact_kind", F.when(F.col("job").isNotNull(), "truckroll").otherwise(
         classify_technical(F.col("purpose_text"))))
 
