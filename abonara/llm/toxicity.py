@@ -4,8 +4,9 @@ Terms are words (A-Z lower-cased, ASCII marks cut off) and beginnings of words o
 characters, as several languages build on stems. Which terms enter the vectors is learned from all
 training labels: those whose share of label 1 lies ``Z_LEAST`` or more standard deviations away
 from the base rate and is at least ``LIFT`` times it or at most the same part of it, at most
-``MAX_TERMS``, the strongest first; other terms carry no evidence and only noise. The index holds at most ``max_examples`` labelled vectors (the documents with the
-smallest hash of their id); equal vectors are one entry with counts of both labels. A text's
+``MAX_TERMS``, the strongest first; other terms carry no evidence and only noise. The index holds
+at most ``max_examples`` labelled vectors (the documents with the smallest hash of their id); equal
+vectors are one entry with counts of both labels. A text's
 neighbours are its ``k`` nearest entries by cosine; postings are cut into blocks with their highest
 weight, and blocks whose bound is below the k-th similarity are not read, which leaves the result
 exact. Votes weighted by similarity, with a prior at the base rate, make the score; the vote becomes a
@@ -241,7 +242,8 @@ def build(docs: DataFrame, labels: DataFrame, *, id_col: str = "doc_id", text_co
     known = labels.select(labels["doc_id"].alias("k"), labels[label_col].cast("int").alias("label"))
     known = known.where("k is not null and label in (0, 1)").where(~held_out("k")).groupBy("k").agg(
         F.min("label").alias("label"), F.max("label").alias("other")).where("label = other").drop("other")
-    train = texts(docs, id_col, text_col).join(known, F.col("doc_id") == F.col("k")).select("doc_id", "body", "label")
+    # A merge join at every size: no plan that changes with the input.
+    train = texts(docs, id_col, text_col).join(known.hint("merge"), F.col("doc_id") == F.col("k")).select("doc_id", "body", "label")
     train = written(train, "toxicity_train")
     count = {r.label: r["count"] for r in train.groupBy("label").count().collect()}
     total = (count.get(0, 0), count.get(1, 0))
@@ -249,10 +251,13 @@ def build(docs: DataFrame, labels: DataFrame, *, id_col: str = "doc_id", text_co
         return None, total[1] / max(1, sum(total)), (1.0, 0.0)
     rate = total[1] / sum(total)
     index = Index(selected_terms(train, total, z_least, max_terms))
-    chosen = train.orderBy(F.xxhash64("doc_id"), "doc_id").limit(max_examples).mapInArrow(
-        _vectors(index.weights), "label int, terms array<binary>, weights array<double>")
+    # A share of the hash range that surely holds max_examples rows, so that few texts and no other vectors are sorted.
+    least = (max_examples + 10 * math.sqrt(max_examples) + 50) / sum(total)
+    drawn = train.withColumn("place", F.shiftrightunsigned(F.xxhash64("doc_id"), 33)).where(
+        F.col("place") < math.ceil(min(1.0, least) * 2**31))
+    vectors = drawn.mapInArrow(_vectors(index.weights), "place long, label int, terms array<binary>, weights array<double>")
     later = []
-    for place, row in enumerate(chosen.toLocalIterator()):
+    for place, row in enumerate(vectors.orderBy("place", "label", "terms", "weights").limit(max_examples).collect()):
         vector = tuple(zip(map(bytes, row.terms), row.weights))
         later.append((vector, row.label)) if place % 4 == 3 else index.add(vector, row.label)
     index.build()
@@ -266,8 +271,8 @@ def _vectors(weights: dict[bytes, float]):
         for batch in batches:
             rows = [index.vector(body) for body in batch.column("body").to_pylist()]
             yield pa.RecordBatch.from_arrays(
-                [batch.column("label"), pa.array([[t for t, _ in v] for v in rows], pa.list_(pa.binary())),
-                 pa.array([[w for _, w in v] for v in rows], pa.list_(pa.float64()))], names=["label", "terms", "weights"])
+                [batch.column("place"), batch.column("label"), pa.array([[t for t, _ in v] for v in rows], pa.list_(pa.binary())),
+                 pa.array([[w for _, w in v] for v in rows], pa.list_(pa.float64()))], names=["place", "label", "terms", "weights"])
     return run
 
 
