@@ -48,14 +48,15 @@ def local_session(cores: str = "8", app: str = "abonara") -> SparkSession:
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """The shared folder named by the cluster; a scratch folder only where all is one process.
 
-    The scratch folder is made once for the process.
+    The scratch folder is made once for the process; ``checkpoint()`` uses the folder too.
     """
-    configured = spark.conf.get("spark.checkpoint.dir", None)
-    if configured:
-        return configured
-    if not re.fullmatch(r"local(\[[^]]*\])?", spark.conf.get("spark.master", "")):
-        raise ValueError("set spark.checkpoint.dir to a shared folder")
-    return _scratch_folder()
+    folder = spark.conf.get("spark.checkpoint.dir", None)
+    if not folder:
+        if not re.fullmatch(r"local(\[[^]]*\])?", spark.conf.get("spark.master", "")):
+            raise ValueError("set spark.checkpoint.dir to a shared folder")
+        folder = _scratch_folder()
+    spark.sparkContext.setCheckpointDir(folder)
+    return folder
 
 
 @cache
