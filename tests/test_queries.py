@@ -26,7 +26,8 @@ def test_query_equals_sql(name, spark, folder, duck):
 
 
 def test_every_query_has_sql():
-    assert set(entry.queries()) == set(entry.oracle_sql())
+    """The library's own queries; training-data queries may have none (see README)."""
+    assert set(CASES) <= set(entry.oracle_sql()) <= set(entry.queries())
 
 
 def test_entry_runs(spark):
