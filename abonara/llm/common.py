@@ -45,6 +45,11 @@ def written(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def numbered(docs: DataFrame, row_col: str) -> DataFrame:
+    """``docs`` with a number of each row, written once so that it stays the same."""
+    return written(docs.withColumn(row_col, F.monotonically_increasing_id()), "numbered")
+
+
 def texts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", *more: str) -> DataFrame:
     """Only the id and the text as bytes (null: empty), so that other columns cannot clash."""
     body = F.coalesce(docs[text_col].cast("string").cast("binary"), F.lit("").cast("binary"))

@@ -24,7 +24,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, Window as W
 from pyspark.sql import functions as F
 
-from abonara.llm.common import n_words, written
+from abonara.llm.common import n_words, numbered, written
 
 CAP = 3.0
 SALTS = 64
@@ -113,7 +113,7 @@ def copies(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", s
            weights=(1, 2, 3), cap: float = CAP, keep: tuple[str, ...] = ()) -> DataFrame:
     """Per document: doc_id, size, source_size, target, rate, copies and ``taken`` words.
 
-    ``keep``: further columns of ``docs`` to carry (their names stay).
+    ``keep``: further columns of ``docs`` to carry (their names stay); they break ties of the id.
     """
     sizes = written(docs.select(
         docs[id_col].alias("doc_id"), docs[source_col].cast("string").alias("source"),
@@ -128,7 +128,7 @@ def copies(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", s
     # One row per (source, size, salt): bounded by distinct sizes, not by documents.
     before = W.partitionBy("source").orderBy("size", "salt").rowsBetween(W.unboundedPreceding, -1)
     groups = groups.withColumn("mass_before", F.coalesce(F.sum(F.col("docs") * F.col("rate")).over(before), F.lit(0.0)))
-    rank = F.row_number().over(W.partitionBy("source", "size", "salt").orderBy(F.xxhash64("doc_id"), "doc_id"))
+    rank = F.row_number().over(W.partitionBy("source", "size", "salt").orderBy(F.xxhash64("doc_id"), "doc_id", *keep))
     ranked = sizes.withColumn("rank", rank)
     joined = ranked.alias("d").join(groups.alias("g"), F.expr(
         "d.source <=> g.source and d.size = g.size and d.salt = g.salt")).select(
@@ -138,9 +138,14 @@ def copies(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", s
     return taken.withColumn("taken", F.col("size") * F.col("copies")).drop("rank", "salt", "mass_before")
 
 
-def mixed(docs: DataFrame, *, id_col: str = "doc_id", **options) -> DataFrame:
-    """The mix itself: each document as often as its copies, with the columns of ``docs``."""
-    chosen = copies(docs, id_col=id_col, **options).where("copies > 0").groupBy("doc_id").agg(
-        F.first("copies").alias("mix_copies")).select(F.col("doc_id").alias("mix_id"), "mix_copies")
-    rows = docs.join(chosen, docs[id_col].eqNullSafe(chosen["mix_id"]))
+def mixed(docs: DataFrame, *, id_col: str = "doc_id", row_col: str | None = None, **options) -> DataFrame:
+    """The mix itself: each row as often as its own copies, with the columns of ``docs``.
+
+    ``row_col``: a column that names each row; without it the rows are numbered here.
+    """
+    rows = docs if row_col else numbered(docs, "mix_number")
+    row_col = row_col or "mix_number"
+    chosen = copies(rows, id_col=id_col, keep=(row_col,), **options).where("copies > 0").select(
+        F.col(row_col).alias("mix_row"), F.col("copies").alias("mix_copies"))
+    rows = rows.join(chosen, rows[row_col] == chosen["mix_row"])
     return rows.withColumn("mix_copy", F.explode(F.sequence(F.lit(1), F.col("mix_copies")))).select(docs.columns)

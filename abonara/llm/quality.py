@@ -205,12 +205,15 @@ def _scorer(handle, bits: int):
 
 def quality(docs: DataFrame, labels: DataFrame, *, id_col: str = "doc_id", text_col: str = "text",
             label_col: str = "quality", max_train: int = MAX_TRAIN, bits: int = BITS, reject_at: float = 0.5,
-            min_words: int = 20, repeat_share: tuple[int, int] = (30, 100)) -> DataFrame:
-    """Per document: the counts, ``base_failed``, ``p_low`` (null without a model) and ``kept``."""
+            min_words: int = 20, repeat_share: tuple[int, int] = (30, 100), row_col: str | None = None) -> DataFrame:
+    """Per document: the counts, ``base_failed``, ``p_low`` (null without a model) and ``kept``.
+
+    ``row_col``: a column to name the rows by in the result (as doc_id) where ids repeat or are null.
+    """
     model = fit(training_rows(docs.select(docs[id_col].alias("doc_id"), docs[text_col].alias("text")),
                               labels, label_col, max_train), bits)
     handle = docs.sparkSession.sparkContext.broadcast(model)
-    rows = texts(docs, id_col, text_col)
+    rows = texts(docs, row_col or id_col, text_col)
     scored = rows.mapInArrow(_scorer(handle, bits), f"doc_id {dict(rows.dtypes)['doc_id']}, {_OUT}")
     above, below = repeat_share
     failed = (F.col("n_words") < min_words) | (below * F.col("n_repeat_words") > above * F.col("n_words"))
