@@ -21,12 +21,12 @@ from pyspark.sql import functions as F
 
 class Rule(NamedTuple):
     """``pattern`` matches leftmost and without overlap; a match is a finding when its ``part``
-    (a pattern over the match; None: all of it) has at least ``least`` characters."""
+    (a group of the pattern; None: all of the match) has at least ``least`` characters."""
 
     kind: str
     version: int
     pattern: str
-    part: str | None
+    part: int | None
     least: int
 
 
@@ -34,7 +34,8 @@ class Rule(NamedTuple):
 KEYWORDS = ("([pP][aA][sS][sS][wW][oO][rR][dD]|[pP][aA][sS][sS][wW][dD]|[sS][eE][cC][rR][eE][tT]|"
             "[tT][oO][kK][eE][nN]|[aA][pP][iI]_?[kK][eE][yY])")
 RULES = (
-    Rule("assign", 1, KEYWORDS + r"""["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", "[A-Za-z0-9+/_.=-]+$", 12),
+    # Version 1 also counted an unquoted '=' and the keyword before it as part of the value.
+    Rule("assign", 3, KEYWORDS + r"""["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", 2, 12),
     Rule("access", 1, "AKIA[A-Z0-9]+", None, 18),
     # A run of hexadecimal digits is matched whole, so asking for 16 here finds the same spans.
     Rule("hex", 1, "[0-9a-f]{16,}", None, 16),
@@ -66,7 +67,7 @@ def spans_of(text: Column, rule: Rule) -> Column:
 
 
 def _least(match: Column, rule: Rule) -> Column:
-    part = match if rule.part is None else F.regexp_extract(match, rule.part, 0)
+    part = match if rule.part is None else F.regexp_extract(match, rule.pattern, rule.part)
     return F.length(part) >= rule.least
 
 

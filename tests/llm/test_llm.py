@@ -314,3 +314,9 @@ def test_empty_tables(spark, empty):
                   toxicity.toxicity(empty, labels), lm.scores(empty), tokens.token_counts(empty),
                   decontam.contamination(empty, items), quality.quality(empty, labels), mixing.copies(empty)):
         assert found.count() == 0
+
+
+def test_secret_values_are_measured_alone(spark):
+    texts = ["password=abcd", "token=12345678", "secret =abcdefghijk", "passwd=abcdefghijkl", "api_key=abcdefghijk="]
+    table = spark.createDataFrame(list(enumerate(texts)), "doc_id int, text string")
+    assert [r.n_assign for r in secrets.report(table).orderBy("doc_id").collect()] == [0, 0, 0, 1, 1]
