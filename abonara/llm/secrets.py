@@ -2,8 +2,8 @@
 
 Every version of every document is content-addressed: its blob is the SHA-256 of its text. The
 ledger names the (blob, rule, rule version) pairs that have been scanned. Only unseen pairs are
-scanned, once for all copies and versions; findings are joined back to every path that holds the
-blob. The scan of one blob is a chain of expressions: matches are extracted, the pieces between
+scanned, once for all copies and versions; stored and new findings are joined back to every path
+that holds the blob. The scan of one blob is a chain of expressions: matches are extracted, the pieces between
 them are split off, and running lengths give code-point spans.
 
 Nulls and empty texts are the empty blob and have no findings. A null id keeps its row. Repeated
@@ -109,9 +109,9 @@ def ledger_of(findings: DataFrame) -> DataFrame:
 
 
 def findings_by_path(paths: DataFrame, findings: DataFrame, rules: tuple[Rule, ...] = RULES) -> DataFrame:
-    """One row per path and version: spans of each rule as an array column named by its kind."""
+    """One row per path and version: spans of each rule, under its version, as an array column named by its kind."""
     per_blob = findings.groupBy("blob").agg(*[
-        F.first(F.when(F.col("rule") == r.kind, F.col("spans")), ignorenulls=True).alias(r.kind) for r in rules])
+        F.first(F.when((F.col("rule") == r.kind) & (F.col("rule_version") == r.version), F.col("spans")), ignorenulls=True).alias(r.kind) for r in rules])
     return paths.select("doc_id", "blob").join(per_blob, "blob", "left")
 
 
@@ -126,11 +126,18 @@ def spans_text(kinds: list[str]) -> Column:
     return F.array_join(F.transform(F.sort_array(F.concat(*parts)), lambda x: x["name"]), ",")
 
 
-def report(docs: DataFrame, ledger: DataFrame | None = None, rules: tuple[Rule, ...] = RULES,
+def report(docs: DataFrame, stored: DataFrame | None = None, rules: tuple[Rule, ...] = RULES,
            id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """Per document: number of findings of each base rule, their digest, and all spans."""
+    """Per document: number of findings of each base rule, their digest, and all spans.
+
+    ``stored``: the results of earlier scans. Their pairs are the ledger and are not scanned again;
+    their findings are reported beside the new ones.
+    """
     paths = versions(docs, id_col, text_col)
-    each = findings_by_path(paths, scan(paths, ledger, rules), rules)
+    found = scan(paths, None if stored is None else ledger_of(stored), rules)
+    if stored is not None:
+        found = stored.select("blob", "rule", "rule_version", "spans").unionByName(found)
+    each = findings_by_path(paths, found, rules)
     base = [r.kind for r in RULES]
     counts = [F.when(F.col(k).isNull(), F.lit(0)).otherwise(F.size(k)).cast("long").alias(f"n_{k}") for k in base]
     return each.select("doc_id", *counts, F.sha2(spans_text(base), 256).alias("base_sha256"),

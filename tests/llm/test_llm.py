@@ -320,3 +320,13 @@ def test_secret_values_are_measured_alone(spark):
     texts = ["password=abcd", "token=12345678", "secret =abcdefghijk", "passwd=abcdefghijkl", "api_key=abcdefghijk="]
     table = spark.createDataFrame(list(enumerate(texts)), "doc_id int, text string")
     assert [r.n_assign for r in secrets.report(table).orderBy("doc_id").collect()] == [0, 0, 0, 1, 1]
+
+
+def test_second_secret_scan_reports_stored_findings(spark):
+    texts = ["token: abcdefghijkl", "AKIAABCDEFGHIJKLMN", "nothing", None, "0123456789abcdef0", "token: abcdefghijkl"]
+    table = spark.createDataFrame(list(enumerate(texts)), "doc_id int, text string")
+    stored = secrets.scan(secrets.versions(table.where("doc_id < 4")))
+    newer = (secrets.RULES[0]._replace(version=9, least=13), *secrets.RULES[1:])
+    for rules in (secrets.RULES, newer):
+        full, second = (sorted(map(str, secrets.report(table, s, rules).collect())) for s in (None, stored))
+        assert second == full and any("access:0:18" in r for r in full)
