@@ -35,7 +35,8 @@ def _key():
     return F.concat(digits("text_hash"), digits("id_hash"), digits("salt"))
 
 
-def _range_of(splitters: np.ndarray):
+def range_of(splitters: np.ndarray):
+    """Column function: the range in which a key of ``_KEY`` characters lies."""
     @F.pandas_udf("int")
     def find(key: pd.Series) -> pd.Series:
         return pd.Series(np.searchsorted(splitters, key.to_numpy().astype(f"S{_KEY}"), side="right").astype(np.int32))
@@ -56,7 +57,7 @@ def splitters(rows: DataFrame, ranges: int) -> np.ndarray:
     picked = sorted(r.key.encode() for r in _sample(rows, ranges * SAMPLES_PER_RANGE))
     cuts = np.unique(np.array(picked[SAMPLES_PER_RANGE::SAMPLES_PER_RANGE], f"S{_KEY}"))
     for _ in range(ROUNDS):
-        placed = rows.withColumn("range", _range_of(cuts)("key"))
+        placed = rows.withColumn("range", range_of(cuts)("key"))
         held = {r["range"]: r["bytes"] for r in placed.groupBy("range").agg(F.sum("size").alias("bytes")).collect()}
         limit = OVERFULL * sum(held.values()) / ranges
         over = {k: v for k, v in held.items() if v > limit}
@@ -84,7 +85,7 @@ def shards(docs: DataFrame, n: int = 40, *, id_col: str = "doc_id", text_col: st
         F.xxhash64(F.coalesce(text, F.lit(""))).alias("text_hash"), F.xxhash64(docs[id_col]).alias("id_hash"),
         F.monotonically_increasing_id().alias("salt"), *[docs[c] for c in keep]).withColumn("key", _key()), "shard_rows")
     cuts = splitters(rows.select("key", "size"), n * RANGES_PER_SHARD)
-    placed = rows.withColumn("range", _range_of(cuts)("key"))
+    placed = rows.withColumn("range", range_of(cuts)("key"))
     held = placed.groupBy("range").agg(F.sum("size").alias("bytes"), F.count("*").alias("docs"))
     # One row per range; their number is bounded by the number of shards.
     before = W.partitionBy(F.lit(0)).orderBy("range").rowsBetween(W.unboundedPreceding, -1)
