@@ -6,6 +6,7 @@ fragments; a statement lists the ones it needs and gets them in dependency order
 
 from __future__ import annotations
 
+import re
 from collections.abc import Callable
 from typing import NamedTuple
 
@@ -44,6 +45,31 @@ def with_fragments(needs: str, select: str) -> str:
     return ("WITH " + ",\n".join(ctes) + "\n" if ctes else "") + select.strip()
 
 
+def as_of(name: str, source: str, condition: str, suffix: str) -> str:
+    """Clone fragment ``name`` and all it needs on only those rows of ``source`` that meet ``condition``.
+
+    Returns the name of the clone; clones have the names of the originals plus ``suffix``.
+    """
+    needed: list[str] = []
+
+    def add(n: str) -> bool:
+        """Does ``n`` rest on the source? Only such fragments are cloned."""
+        rests = n == source or any([add(d) for d in FRAGMENTS[n][0]])
+        if rests and n not in needed:
+            needed.append(n)
+        return rests
+
+    add(name)
+    rename = lambda text: re.sub(rf"\b({'|'.join(needed)})\b", rf"\1{suffix}", text)
+    for n in needed:
+        needs, body = FRAGMENTS[n]
+        if n == source:
+            FRAGMENTS[n + suffix] = (needs, f"SELECT * FROM ({body}) WHERE {condition}")
+        else:
+            FRAGMENTS[n + suffix] = (tuple(d + suffix if d in needed else d for d in needs), rename(body))
+    return name + suffix
+
+
 def case(name: str, ids: str, needs: str = "", sql: str | None = None):
     """Register ``fn(inputs)`` under ``name``; ``ids`` are the inventory rows it covers."""
 

@@ -7,9 +7,9 @@ on purpose.
 
 from __future__ import annotations
 
-from collections.abc import Iterable
+from collections.abc import Iterable, Sequence
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from abonara.functions import values as V
 from abonara.functions.profile import flag, full_plan, last10
@@ -58,7 +58,42 @@ def near_fmc(mobile: DataFrame, fixed_emails: DataFrame,
     return mobile
 
 
-def converge(fixed: DataFrame, mobile: DataFrame) -> DataFrame:
+def crowded_contracts(lines: DataFrame, share: int = 2000, contract: str = "fixed_contract") -> list[str]:
+    """Keys that own more than one in ``share`` of all ``lines``: at most ``share`` of them.
+
+    Run over the raw line table (one aggregate); the result is the ``crowded`` of :func:`converge`.
+    """
+    counts = lines.where(_known(contract)).groupBy(last10(F.col(contract)).alias("key")).agg(F.count("*").alias("n"))
+    limit = lines.count() / share
+    return [r.key for r in counts.where(F.col("n") > limit).select("key").collect()]
+
+
+def _joined(fixed: DataFrame, mobile: DataFrame) -> DataFrame:
+    """Convergence of hot keys: a left join, whose hot side Spark splits, and the accounts without a line."""
+    lines = mobile.groupBy("_key", "period").agg(F.count("*").alias("copies"))
+    counted = fixed.join(lines, ["_key", "period"], "left")
+    with_line = mobile.join(counted.where(_known("copies")), ["_key", "period"], "left")
+    return with_line.unionByName(counted.where(~_known("copies")), allowMissingColumns=True)
+
+
+def _met(fixed: DataFrame, mobile: DataFrame) -> DataFrame:
+    """Convergence of all other keys: both tables as one stream, which meets once by key and period."""
+    names = [[c for c in df.columns if c not in ("_key", "period")] for df in (fixed, mobile)]
+    packed = [df.select("_key", "period", F.struct(*columns).alias(tag))
+              for df, columns, tag in zip((fixed, mobile), names, ("f", "m"))]
+    key = Window.partitionBy("_key", "period")
+    stream = packed[0].unionByName(packed[1], allowMissingColumns=True).withColumns(
+        {"accounts": F.collect_list("f").over(key), "copies": F.count("m").over(key)})
+    # A line takes every account of its key (one, unless ids share their last digits); an account
+    # without a line stands alone.
+    line, alone = _known("m"), F.col("copies") == 0
+    rows = stream.where(line | alone).withColumn("account_row", F.explode_outer(
+        F.when(line, F.col("accounts")).otherwise(F.array("f"))))
+    return rows.select("period", F.when(_known("account_row"), F.greatest("copies", F.lit(1))).alias("copies"),
+                       *[F.col(f"account_row.{c}").alias(c) for c in names[0]], *[F.col(f"m.{c}").alias(c) for c in names[1]])
+
+
+def converge(fixed: DataFrame, mobile: DataFrame, crowded: Sequence[str] = ()) -> DataFrame:
     """Full join of the fixed and the mobile table on the normalized account and period.
 
     ``fixed`` has one row per account and period, the account as ``fixed_account``;
@@ -66,17 +101,18 @@ def converge(fixed: DataFrame, mobile: DataFrame) -> DataFrame:
     ``copies`` tells on how many rows of the period a fixed account appears: as many as
     mobile lines share its key, at least one.
 
-    One contract may own a large share of all mobile lines, and Spark cannot split a hot
-    key of a full join. The lines are therefore counted per key first; every mobile row
-    takes its account by a left join, which AQE does split, and the accounts without a
-    line are added. Both parts read the fixed side from the same exchange.
+    Both tables form one tagged stream that is shuffled once, so each is computed once. A contract
+    that owns a large share of all lines would meet in one task; name such keys in ``crowded``
+    (see :func:`crowded_contracts`) and they are joined in a way that Spark can split.
     """
-    keyed = mobile.withColumn("_key", last10(F.col("fmc_account")))
-    lines = keyed.groupBy("_key", "period").agg(F.count("*").alias("copies"))
-    counted = fixed.withColumn("_key", last10(F.col("fixed_account"))).join(lines, ["_key", "period"], "left")
-    with_line = keyed.join(counted.where(_known("copies")), ["_key", "period"], "left")
-    alone = counted.where(~_known("copies"))
-    joined = with_line.unionByName(alone, allowMissingColumns=True).drop("_key")
+    fixed = fixed.withColumn("_key", last10(F.col("fixed_account")))
+    mobile = mobile.withColumn("_key", last10(F.col("fmc_account")))
+    if crowded:
+        hot = F.col("_key").isin(*crowded)
+        joined = _met(fixed.where(~hot), mobile.where(~hot)).unionByName(
+            _joined(fixed.where(hot), mobile.where(hot)).drop("_key"))
+    else:
+        joined = _met(fixed, mobile)
     return joined.withColumns({
         "copies": F.coalesce("copies", F.lit(1)),
         "final_account": F.concat_ws("", "fixed_account", "mobile_account"),

@@ -67,18 +67,31 @@ def repair_age(df: DataFrame, tolerance: int = 2, isolated_to_null: bool = False
     if not unique_days:
         df = df.groupBy("account", "dt").agg(F.max("age").alias("age"))
     days = Window.partitionBy("account").orderBy("dt")
+    neighbours = df.withColumns({"prev_age": F.lag("age").over(days), "next_age": F.lead("age").over(days)})
+    return fixed_age(neighbours, tolerance, isolated_to_null)
+
+
+def jumps(age: Column, before: Column, after: Column, tolerance: int = 2) -> Column:
+    """Is the age more than ``tolerance`` days off both neighbours in the same direction?"""
+    up = (age - before > tolerance) & (age - after > tolerance)
+    down = (before - age > tolerance) & (after - age > tolerance)
+    return F.coalesce(up | down, F.lit(False))
+
+
+def repaired_age(age: Column, before: Column, after: Column, tolerance: int = 2) -> Column:
+    """The age, jumps and single gaps replaced; see :func:`repair_age`."""
+    return (F.when(jumps(age, before, after, tolerance), before + 1)
+            .when(age.isNull() & (after == before + 2), before + 1).otherwise(age))
+
+
+def fixed_age(df: DataFrame, tolerance: int = 2, isolated_to_null: bool = False) -> DataFrame:
+    """Add ``is_jump`` and ``age_fix`` to rows that know ``prev_age`` and ``next_age``."""
     age, before, after = F.col("age"), F.col("prev_age"), F.col("next_age")
-    jump_up = (age - before > tolerance) & (age - after > tolerance)
-    jump_down = (before - age > tolerance) & (after - age > tolerance)
-    filled = (F.when(F.col("is_jump") == 1, before + 1)
-              .when(age.isNull() & (after == before + 2), before + 1))
+    fixed = repaired_age(age, before, after, tolerance)
     if isolated_to_null:
-        filled = filled.when(before.isNull() & after.isNull(), None)
-    return (
-        df.withColumns({"prev_age": F.lag("age").over(days), "next_age": F.lead("age").over(days)})
-        .withColumn("is_jump", F.when(jump_up | jump_down, 1).otherwise(0))
-        .withColumn("age_fix", filled.otherwise(age))
-    )
+        fixed = F.when(before.isNull() & after.isNull(), None).otherwise(fixed)
+    return df.withColumns({
+        "is_jump": F.when(jumps(age, before, after, tolerance), 1).otherwise(0), "age_fix": fixed})
 
 
 def dedup_interactions(contacts: DataFrame) -> DataFrame:

@@ -4,10 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from abonara.functions import values as V
 from abonara.functions.calendar import boundary_day, complete_months, period_of, shift_period
+from abonara.functions.profile import flag
 from abonara.functions.rules import first_match
 from abonara.operators.dedup import keep_one
 
@@ -27,6 +28,40 @@ def closing_rows(daily: DataFrame, grain: str = "month", order: Sequence[Column]
                     ["account", "period"], order)
 
 
+def held_lines() -> Column:
+    """Aggregate: product lines that had a name on any day."""
+    held = lambda c: flag(F.count(c) > 0)
+    return held("vo_nm") + held("bb_nm") + held("tv_nm")
+
+
+def named_lines() -> Column:
+    """Product lines that have a name."""
+    named = lambda c: flag(F.col(c).isNotNull())
+    return named("vo_nm") + named("bb_nm") + named("tv_nm")
+
+
+def account_closing(daily: DataFrame, grain: str = "month") -> DataFrame:
+    """Last row of each account and period, with what the account tables ask about the account.
+
+    ``daily`` has one row per account and day with product names, ``inst_dt`` and ``age_fix`` (see
+    ``dedup.repair_age``). Adds ``held_rgus`` (lines held at any time in the period), ``start_dt``,
+    ``max_inst_dt``, ``first_rgus`` of the account and ``tenure``. The period aggregate carries the
+    period's own firsts, so the account-wide values are a window over period rows, not further
+    scans of the snapshot.
+    """
+    columns = [c for c in daily.columns if c not in ("account", "prev_age", "next_age", "is_jump")]
+    by_period = daily.groupBy("account", period_of(F.col("dt"), grain).alias("period")).agg(
+        F.max_by(F.struct(*columns), "dt").alias("last"), F.min("dt").alias("_first"),
+        F.max("inst_dt").alias("_inst"), F.min_by(named_lines(), "dt").alias("_rgus"), held_lines().alias("held_rgus"))
+    whole = Window.partitionBy("account")
+    rows = by_period.select(
+        "account", "period", "last.*", "held_rgus",
+        F.min("_first").over(whole).alias("start_dt"),
+        F.max("_inst").over(whole).alias("max_inst_dt"),
+        F.min_by("_rgus", "_first").over(whole).alias("first_rgus"))
+    return rows.withColumn("tenure", complete_months(F.col("start_dt"), F.col("dt")))
+
+
 def _side(daily, prefix, columns, grain, boundary, shift, kept):
     day = F.col("dt")
     rows = daily if boundary is None else daily.where(boundary_day(day, boundary, grain))

@@ -15,10 +15,11 @@ from functools import cached_property
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
 from abonara.functions import values as V
-from abonara.functions.calendar import complete_months, period_of
+from abonara.functions.calendar import period_of
 from abonara.functions.profile import flag, oldest_unpaid, product_mix, rgu_count, rgu_flags, tech_flag
 from abonara.functions.rules import first_match
 from abonara.operators.dedup import keep_one, repair_age
+from abonara.operators.snapshot import account_closing
 from abonara.sources.tables import read_table
 
 #: Which part types stand for which product line.
@@ -116,32 +117,8 @@ class Inputs:
 
     @cached_property
     def closing(self) -> DataFrame:
-        """Last profiled row per account and quarter, with repaired age, account firsts and tenure.
-
-        The rows of an account meet once: repair, period aggregate and look-backs all use
-        that partitioning.
-
-        The period aggregate also carries the period's first day, latest installation and
-        the lines held at any time, so the account-wide values are a window over period
-        rows, not further scans of the snapshot.
-        """
-        daily = repair_age(self.profiled).drop("prev_age", "next_age", "is_jump")
-        columns = [c for c in daily.columns if c != "account"]
-        named = lambda c: flag(F.col(c).isNotNull())
-        held = lambda c: flag(F.count(c) > 0)
-        by_period = daily.groupBy(
-            "account", period_of(F.col("dt"), "quarter").alias("period")
-        ).agg(F.max_by(F.struct(*columns), "dt").alias("last"),
-              F.min("dt").alias("_first"), F.max("inst_dt").alias("_inst"),
-              F.min_by(named("vo_nm") + named("bb_nm") + named("tv_nm"), "dt").alias("_rgus"),
-              (held("vo_nm") + held("bb_nm") + held("tv_nm")).alias("held_rgus"))
-        whole = Window.partitionBy("account")
-        rows = by_period.select(
-            "account", "period", "last.*", "held_rgus",
-            F.min("_first").over(whole).alias("start_dt"),
-            F.max("_inst").over(whole).alias("max_inst_dt"),
-            F.min_by("_rgus", "_first").over(whole).alias("first_rgus"))
-        return rows.withColumn("tenure", complete_months(F.col("start_dt"), F.col("dt")))
+        """Last profiled row per account and quarter, with repaired age, account firsts and tenure."""
+        return account_closing(repair_age(self.profiled), "quarter")
 
     @cached_property
     def service_orders(self) -> DataFrame:

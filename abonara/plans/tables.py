@@ -7,7 +7,9 @@ lazy.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window, functions as F
+from collections.abc import Sequence
+
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from abonara.functions import profile as P
 from abonara.functions import values as V
@@ -50,10 +52,20 @@ def mobile_pairs(inputs: Inputs) -> DataFrame:
             .withColumnRenamed("account", "mobile_account").drop("b_date", "e_date"))
 
 
-def mobile_movements(inputs: Inputs) -> DataFrame:
+def labelled_mobile(pair: DataFrame) -> DataFrame:
+    """Movement, convergence key and tenure of mobile pairs."""
     segment = lambda s: P.mobile_tenure_segment(complete_months(F.col(f"{s}_start_dt"), F.col("period")))
-    return S.mobile_movement(mobile_pairs(inputs)).withColumns(
-        {"b_mobile_tenure": segment("b"), "e_mobile_tenure": segment("e")})
+    return S.mobile_movement(pair).withColumns({"b_mobile_tenure": segment("b"), "e_mobile_tenure": segment("e")})
+
+
+def mobile_movements(inputs: Inputs) -> DataFrame:
+    return labelled_mobile(mobile_pairs(inputs))
+
+
+def typed_moves(inputs: Inputs) -> DataFrame:
+    """Mobile movement file with the churn type of each movement."""
+    reason = P.mobile_movement_reason(*[F.col(c) for c in ("movement", "leave_kind", "migration_kind")])
+    return inputs.mobile_moves.withColumn("churn_type", reason)
 
 
 def repaired(inputs: Inputs) -> DataFrame:
@@ -66,45 +78,53 @@ def brackets(inputs: Inputs) -> DataFrame:
 
 def mobile_table(inputs: Inputs) -> DataFrame:
     """Mobile account-period table with movement, churn and rejoiner columns."""
-    reason = P.mobile_movement_reason(*[F.col(c) for c in ("movement", "leave_kind", "migration_kind")])
-    typed = inputs.mobile_moves.withColumn("churn_type", reason)
-    return E.mobile_rejoiners(E.mobile_churn(mobile_movements(inputs), typed, GRAIN), GRAIN)
+    return E.mobile_rejoiners(E.mobile_churn(mobile_movements(inputs), typed_moves(inputs), GRAIN), GRAIN)
 
 
-def fixed_table(inputs: Inputs, days: int = 90) -> DataFrame:
-    """Fixed account-period table.
+FIXED_COLUMNS = PAIR_COLUMNS + ["last_pay_dt", "_unpaid", "held_rgus", "first_rgus"]
+
+
+def in_base(date: Column, age: Column, unpaid: Column, days: int, inclusive: bool) -> Column:
+    """Is the account of a closing row part of the base? An unknown age counts as paying."""
+    below = (lambda c: c <= days) if inclusive else (lambda c: c < days)
+    return F.coalesce(date.isNotNull() & (age.isNull() | below(age) | below(unpaid)), F.lit(False))
+
+
+def fixed_loss(b: Sequence[Column], e: Sequence[Column], days: int) -> Column:
+    """Churn type of an account-period from date, age and unpaid days of its two closing rows.
+
+    Below the threshold at the start and at or above it at the end is the involuntary rule.
+    """
+    crossed = F.coalesce(E.crossed(b[1], b[2], e[1], e[2], days), F.lit(False))
+    return F.when(~in_base(*e, days, True), F.when(crossed, V.FIXED_INVOLUNTARY)
+                  .when(in_base(*b, days, False), V.FIXED_VOLUNTARY))
+
+
+def _marks(side: str) -> list[Column]:
+    return [F.col(f"{side}_{c}") for c in ("date", "age_fix", "_unpaid")]
+
+
+def typed_fixed(state: DataFrame, days: int, grain: str) -> DataFrame:
+    """Active flags, movement and churn type of paired closing rows.
 
-    ``closing`` already holds, for each account and period, the state that every later rule
-    asks about, so churn and rejoiner types are found on the pair itself: being below the
-    threshold at the start and at or above it at the end is the involuntary rule, and the
-    type of the previous period is one look back per account. The snapshot is read once.
+    A side that is over the threshold is not part of the base: its columns become null.
     """
-    state = S.pair_closing_rows(
-        inputs.closing.withColumn("_unpaid", F.datediff("dt", "unpaid_dt")),
-        PAIR_COLUMNS + ["last_pay_dt", "_unpaid", "held_rgus", "first_rgus"], GRAIN, max_age=None)
-    b_age, e_age = F.col("b_age_fix"), F.col("e_age_fix")
-    opens = F.col("b_date").isNotNull() & (b_age.isNull() | (b_age < days) | (F.col("b__unpaid") < days))
-    closes = F.col("e_date").isNotNull() & (e_age.isNull() | (e_age <= days) | (F.col("e__unpaid") <= days))
+    e_age = F.col("e_age_fix")
     pair = state.withColumns({
-        "active_bom": P.flag(opens), "active_eom": P.flag(closes),
-        "_crossed": F.coalesce(E.crossed(b_age, F.col("b__unpaid"), e_age, F.col("e__unpaid"), days), F.lit(False)),
+        "active_bom": P.flag(in_base(*_marks("b"), days, False)), "active_eom": P.flag(in_base(*_marks("e"), days, True)),
+        "churn_type": fixed_loss(_marks("b"), _marks("e"), days),
         "_paying": F.coalesce((e_age <= days) | (e_age.isNull() & (
-            period_of(F.col("e_last_pay_dt"), GRAIN) == F.col("period"))), F.lit(False)),
+            period_of(F.col("e_last_pay_dt"), grain) == F.col("period"))), F.lit(False)),
     })
-    # A side that is over the threshold is not part of the base: its columns are null.
     pair = pair.withColumns(
         {f"b_{c}": F.when(F.col("active_bom") == 1, F.col(f"b_{c}")) for c in PAIR_COLUMNS}
         | {f"e_{c}": F.when(F.col("active_eom") == 1, F.col(f"e_{c}")) for c in PAIR_COLUMNS})
-    moved = S.main_movement(pair)
-    lost = (F.col("active_bom") == 1) & (F.col("active_eom") == 0)
-    typed = moved.withColumn("churn_type", F.when(
-        F.col("active_eom") == 0,
-        F.when(F.col("_crossed"), V.FIXED_INVOLUNTARY).when(lost, V.FIXED_VOLUNTARY)))
-    by_period = Window.partitionBy("account").orderBy("period")
-    before = F.lag(F.struct("period", "churn_type")).over(by_period)
-    typed = typed.withColumn("_before", before).withColumn("rejoiner_type", F.when(
-        (shift_period(F.col("_before.period"), 1, GRAIN) == F.col("period")) & F.col("_paying"),
-        E.type_labels(V.FIXED_REJOINERS, F.col("_before.churn_type"))))
+    return S.main_movement(pair)
+
+
+def finished_fixed(typed: DataFrame, loss_before: Column) -> DataFrame:
+    """The account table from typed pairs; ``loss_before`` is the churn type of the period before."""
+    typed = typed.withColumn("rejoiner_type", F.when(F.col("_paying"), E.type_labels(V.FIXED_REJOINERS, loss_before)))
     first_rgus = F.coalesce("b_first_rgus", "e_first_rgus")
     return (
         typed.where("active_bom = 1 OR active_eom = 1 OR churn_type IS NOT NULL")
@@ -116,35 +136,60 @@ def fixed_table(inputs: Inputs, days: int = 90) -> DataFrame:
                                      first_rgus, F.col("b_num_rgus"), F.col("e_num_rgus")),
             "b_plan": P.plan_fingerprint("b_"), "e_plan": P.plan_fingerprint("e_"),
         })
-        .drop("_before", "_crossed", "_paying", *[
-            f"{s}_{c}" for s in "be" for c in ("_unpaid", "last_pay_dt", "held_rgus", "first_rgus")]))
+        .drop("_paying", *[f"{s}_{c}" for s in "be" for c in ("_unpaid", "last_pay_dt", "held_rgus", "first_rgus")]))
 
 
-def near_mobile(inputs: Inputs) -> DataFrame:
+def fixed_account_table(closing: DataFrame, grain: str = GRAIN, days: int = 90) -> DataFrame:
+    """Fixed account-period table from :func:`snapshot.account_closing` rows.
+
+    A closing row holds, for its account and period, the state that every later rule asks about, so
+    churn and rejoiner types are found on the pair itself and the type of the previous period is
+    one look back per account. The snapshot is read once.
+    """
+    state = S.pair_closing_rows(closing.withColumn("_unpaid", F.datediff("dt", "unpaid_dt")), FIXED_COLUMNS, grain, max_age=None)
+    by_period = Window.partitionBy("account").orderBy("period")
+    typed = typed_fixed(state, days, grain).withColumn("_before", F.lag(F.struct("period", "churn_type")).over(by_period))
+    adjacent = shift_period(F.col("_before.period"), 1, grain) == F.col("period")
+    return finished_fixed(typed, F.when(adjacent, F.col("_before.churn_type"))).drop("_before")
+
+
+def fixed_table(inputs: Inputs, days: int = 90) -> DataFrame:
+    """Fixed account-period table of the supplied tables."""
+    return fixed_account_table(inputs.closing, GRAIN, days)
+
+
+def near_lines(mobile: DataFrame, emails: DataFrame) -> DataFrame:
     """Mobile table with the near-FMC columns and names that do not clash."""
-    mobile = (mobile_table(inputs)
-              .withColumnsRenamed({"active_bom": "mobile_active_bom", "active_eom": "mobile_active_eom"})
+    mobile = (mobile.withColumnsRenamed({"active_bom": "mobile_active_bom", "active_eom": "mobile_active_eom"})
               .drop("b_start_dt", "e_start_dt"))
-    return C.near_fmc(mobile, inputs.fixed_emails)
+    return C.near_fmc(mobile, emails)
+
+
+def near_mobile(inputs: Inputs) -> DataFrame:
+    return near_lines(mobile_table(inputs), inputs.fixed_emails)
 
 
 def converged(inputs: Inputs) -> DataFrame:
-    fixed = fixed_table(inputs).withColumnRenamed("account", "fixed_account")
-    return C.converge(fixed, near_mobile(inputs))
+    return C.converge(fixed_table(inputs).withColumnRenamed("account", "fixed_account"), near_mobile(inputs))
 
 
 FMC_STEPS = (C.fmc_status, C.fmc_type, C.final_flags, C.fmc_segment, C.final_churn, C.totals,
              C.final_rejoiner, C.partial_total, C.waterfall, C.splits)
 
 
-def fmc_table(inputs: Inputs) -> DataFrame:
-    """Converged account-period table with every label of the waterfall."""
-    df = converged(inputs)
+def labelled_fmc(fixed: DataFrame, mobile: DataFrame) -> DataFrame:
+    """Converged table with every label of the waterfall from the fixed table and :func:`near_lines`."""
+    df = C.converge(fixed.withColumnRenamed("account", "fixed_account"), mobile)
     for step in FMC_STEPS:
         df = step(df)
     return df
 
 
+def fmc_table(inputs: Inputs) -> DataFrame:
+    """Converged account-period table of the supplied tables."""
+    return labelled_fmc(fixed_table(inputs), near_mobile(inputs))
+
+
 REAL_CODES = ("PROMO-1", "LARGE-2", "LARGE-3")
 
 

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import time
 from collections.abc import Iterable
 from functools import reduce
 
@@ -93,23 +94,34 @@ def clean_interactions(
     )
 
 
-def _is_complete(spark: SparkSession, folder: str) -> bool:
-    """Did a finished job write ``folder``? Half-written output has no success marker."""
-    marker = spark._jvm.org.apache.hadoop.fs.Path(f"{folder}/_SUCCESS")
-    return marker.getFileSystem(spark._jsc.hadoopConfiguration()).exists(marker)
+_MONTH_LOG = "month STRING, state STRING, at LONG"
+
+
+def _note(spark: SparkSession, path: str, *rows: tuple) -> None:
+    spark.createDataFrame(list(rows), _MONTH_LOG).coalesce(1).write.mode("append").parquet(f"{path}/_months")
+
+
+def _is_complete(spark: SparkSession, path: str, month: str) -> bool:
+    """Was the month's last write finished? A write that was cut off has begun and not finished."""
+    _note(spark, path)  # the log must be there to be read
+    log = spark.read.schema(_MONTH_LOG).parquet(f"{path}/_months").where(F.col("month") == month)
+    return log.agg(F.max_by("state", "at")).first()[0] == "finished"
 
 
 def save_month(df: DataFrame, path: str, month: str, replace: bool = False) -> bool:
     """Write one month's rows under its own partition folder; tells whether it wrote.
 
     Without ``replace`` a finished month is left alone and its result is not computed
-    again; a month that a lost job left half-written is written anew.
+    again; a month that a lost job left half-written is written anew. Months that other
+    tables are built from belong in :class:`abonara.sources.commits.PeriodStore`.
     """
-    target = f"{path}/period={month}"
-    if not replace and _is_complete(df.sparkSession, target):
+    spark = df.sparkSession
+    if not replace and _is_complete(spark, path, month):
         return False
+    _note(spark, path, (month, "begun", time.time_ns()))
     part = df.where(F.col("period") == F.lit(month).cast("date")).drop("period")
-    part.write.mode("overwrite").parquet(target)
+    part.write.mode("overwrite").parquet(f"{path}/period={month}")
+    _note(spark, path, (month, "finished", time.time_ns()))
     return True
 
 
