@@ -4,12 +4,15 @@ from uuid import uuid4
 
 from pyspark.sql import functions as F
 
-from abonara.catalog import converge  # noqa: F401  (its fragments are needed)
-from abonara.catalog.base_sql import q
+from abonara.catalog import contact, converge  # noqa: F401  (their fragments are needed)
+from abonara.catalog.base_sql import mth, q
 from abonara.catalog.registry import as_of, case
 from abonara.functions.calendar import period_of
+from abonara.operators import contact as I
 from abonara.operators import partials as A
 from abonara.operators import repair as R
+from abonara.operators.bitmaps import DistinctCube
+from abonara.plans import drivers as D
 from abonara.plans import tables as T
 from abonara.plans.periods import AccountRuns, next_period
 from abonara.session import ensure_checkpoint_dir
@@ -132,3 +135,64 @@ def _(inputs):
 def _(inputs):
     facts = period_state()
     return A.values(A.merge([merged_state(inputs)], ["account"], facts), ["account"], facts)
+
+
+# -- distinct counts from stored bitmaps ------------------------------------------------------
+
+
+def _cube_levels(cube, dim):
+    """Weeks by the dimension, months by the dimension, and months over all, from the same bitmaps."""
+    month = F.trunc("period", "month")
+    levels = {"week": {"period": F.col("period"), dim: F.col(dim)}, "month": {"period": month, dim: F.col(dim)},
+              "month, all": {"period": month}}
+    frames = [cube.counts(by).withColumn("level", F.lit(name)) for name, by in levels.items()]
+    return frames[0].unionByName(frames[1]).unionByName(frames[2], allowMissingColumns=True)
+
+
+def _cube_sql(source, flags, where):
+    counted = "count(DISTINCT account) AS active_base, " + ", ".join(f"count(DISTINCT {f}) AS {f}" for f in flags)
+    part = lambda level, period, segment: (
+        f"SELECT '{level}' AS level, {period} AS period, {segment} AS segment, {counted} FROM {source} WHERE {where} GROUP BY ALL")
+    return " UNION ALL ".join([part("week", "period", "segment"), part("month", mth("period"), "segment"),
+                               part("month, all", mth("period"), "CAST(NULL AS VARCHAR)")])
+
+
+_staying = "final_churn_flag NOT IN ('Fixed Churner', 'Full Churner')"
+
+
+def _flags_of(names):
+    return {"active_base": F.lit(True)} | {n: F.col(n).isNotNull() for n in names}
+
+
+@case("driver_cube_from_bitmaps", "I13", "drivers", _cube_sql("drivers", D.DRIVER_FLAGS, _staying))
+def _(inputs):
+    cube = DistinctCube(new_store(inputs, "driver_cube"), "drivers", ["segment"], _flags_of(D.DRIVER_FLAGS))
+    cube.add(I.without_churners(D.driver_table(inputs)))
+    return _cube_levels(cube, "segment")
+
+
+@case("contact_cube_from_bitmaps", "I14", "contact_flags", _cube_sql("contact_flags", D.CONTACT_FLAGS, _staying))
+def _(inputs):
+    cube = DistinctCube(new_store(inputs, "contact_cube"), "contacts", ["segment"], _flags_of(D.CONTACT_FLAGS))
+    cube.add(I.without_churners(D.contact_table(inputs)))
+    return _cube_levels(cube, "segment")
+
+
+_YEAR = "CAST(date_trunc('year', period) AS DATE)"
+_both = "count(DISTINCT account) AS accounts, count(DISTINCT CASE WHEN active_bom = 1 THEN account END) AS at_start, " \
+        "count(DISTINCT CASE WHEN active_eom = 1 THEN account END) AS at_end"
+
+
+@case("movement_cube_from_bitmaps", "D8 K6", "moved", f"""
+  SELECT 'quarter' AS level, period, main_movement, {_both} FROM moved GROUP BY ALL
+  UNION ALL SELECT 'year', {_YEAR}, main_movement, {_both} FROM moved GROUP BY ALL
+  UNION ALL SELECT 'year, all', {_YEAR}, NULL, {_both} FROM moved GROUP BY ALL""")
+def _(inputs):
+    cube = DistinctCube(new_store(inputs, "movement_cube"), "movements", ["main_movement"], {
+        "accounts": F.lit(True), "at_start": F.col("active_bom") == 1, "at_end": F.col("active_eom") == 1})
+    cube.add(T.movements(inputs))
+    year, movement = F.trunc("period", "year"), F.col("main_movement")
+    levels = {"quarter": {"period": F.col("period"), "main_movement": movement}, "year": {"period": year, "main_movement": movement},
+              "year, all": {"period": year}}
+    frames = [cube.counts(by).withColumn("level", F.lit(name)) for name, by in levels.items()]
+    return frames[0].unionByName(frames[1]).unionByName(frames[2], allowMissingColumns=True)

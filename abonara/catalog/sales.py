@@ -175,8 +175,7 @@ fragment("npn", "cycle paid", f"""
 
 @case("never_paid_flags", "G12", "npn", "SELECT * FROM npn")
 def _(inputs):
-    facts = P.cycle(inputs)
-    return B.npn_flags(facts, P.paid(inputs, facts), ["7", "14", "21"], never=22)
+    return P.never_paid(inputs)
 
 
 fragment("billed_sales", "npn", "SELECT *, " + ", ".join(

@@ -11,7 +11,6 @@ from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from abonara.functions.profile import flag
 from abonara.operators.dedup import first_non_null
 
 Until = Callable[[Column], Column]
@@ -96,13 +95,17 @@ def npn_flags(cycle: DataFrame, paid: DataFrame, horizons: list[str], never: int
     ``days_unpaid`` counts from the first bill to the first sufficient payment; accounts
     without one get ``never``.
     """
-    joined = cycle.join(paid, "account", "left")
+    return npn_columns(cycle.join(paid, "account", "left"), horizons, never)
+
+
+def npn_columns(facts: DataFrame, horizons: list[str], never: int | None = None) -> DataFrame:
+    """The flags of :func:`npn_flags` on rows that have cycle and payments together."""
     short = lambda c: F.when(F.col(c).isNull() | (F.col(c) < F.col("max_mrc")), F.col("account"))
     flags = {f"npn_{h}": short(f"paid_{h}") for h in horizons} | {"npn": short("paid_total")}
     waited = F.datediff("enough_day", "first_bill")
     if never is not None:
         waited = F.coalesce(waited, F.lit(never))
-    return joined.withColumns(flags | {"days_unpaid": waited})
+    return facts.withColumns(flags | {"days_unpaid": waited})
 
 
 def window_complete(df: DataFrame, as_of: Column, limits: list[int]) -> DataFrame:
@@ -114,9 +117,3 @@ def window_complete(df: DataFrame, as_of: Column, limits: list[int]) -> DataFram
         columns[f"complete_{n}"] = F.when(since >= n, F.col("account"))
     return df.withColumns(columns)
 
-
-def deposit_flag(df: DataFrame, payers: DataFrame) -> DataFrame:
-    """Mark accounts that appear in the deposit file."""
-    listed = payers.select("account").distinct().withColumn("deposit_paid", F.lit(1))
-    return df.join(listed, "account", "left").withColumn(
-        "deposit_paid", flag(F.col("deposit_paid") == 1))

@@ -2,15 +2,13 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
-
 from pyspark.sql import Column, DataFrame, functions as F
 
 from abonara.functions import values as V
 from abonara.functions.calendar import in_period, period_of, shift_period
 from abonara.functions.profile import collapse_channel, flag
 from abonara.functions.rules import first_match
-from abonara.operators.dedup import densest_entry_day, first_by, first_non_null
+from abonara.operators.dedup import densest_entry_day, first_by
 
 
 def first_seen(snap: DataFrame) -> DataFrame:
@@ -166,41 +164,41 @@ def soft_hard_dx(snap: DataFrame, as_of: Column, cutover: Column, soft_age: int
 NAMES = ("bb_nm", "vo_nm", "tv_nm")
 
 
-def upsell_base(snap: DataFrame, newcomers: DataFrame, period: Column, grain: str = "month") -> DataFrame:
-    """First and last products of established accounts in the period.
+def newcomers_and_upsells(snap: DataFrame, period: Column, back: int = 6, ahead: int = 1, grain: str = "month") -> DataFrame:
+    """Gross adds and upsell candidates of a period from one scan.
 
-    ``mix_qty`` is the RGU count of the day. ``reached_on`` is the first day on which the
-    count had its final value.
+    An account whose first day inside the look-back window lies in the period is new (``base``
+    Gross-add). Any other account with rows in the period is a candidate (Upsell): its first and
+    last products, the change between them, and ``reached_on``, the first day on which the RGU count
+    ``mix_qty`` had its final value. Rows are reduced to one per account and RGU count before
+    those of an account are put together.
     """
-    rows = (snap.where(in_period(F.col("dt"), period, grain))
-            .join(newcomers.select("account"), "account", "left_anti"))
-    state = F.struct("mix_qty", "mrc", *NAMES)
-    order = F.struct("dt", "row_id")
-    ends = rows.groupBy("account").agg(F.min_by(state, order).alias("f"), F.max_by(state, order).alias("l"))
-    names = lambda s: sum(flag(F.col(f"{s}.{n}").isNotNull()) for n in NAMES)
-    changed = [F.coalesce(f"l.{n}", F.lit("NA")) != F.coalesce(f"f.{n}", F.lit("NA")) for n in NAMES]
-    profile = ends.select(
-        "account",
-        F.col("f.mix_qty").alias("first_mix_qty"), F.col("l.mix_qty").alias("last_mix_qty"),
-        names("f").alias("first_named_rgus"), names("l").alias("last_named_rgus"),
-        sum(flag(c) for c in changed).alias("changed_products"),
-        F.round(F.col("l.mrc") - F.col("f.mrc"), 2).alias("mrc_change"))
-    reached = (rows.join(profile.select("account", "last_mix_qty"), "account")
-               .where(F.col("mix_qty") == F.col("last_mix_qty"))
-               .groupBy("account").agg(F.min("dt").alias("reached_on")))
-    more = F.col("last_mix_qty") - F.col("first_mix_qty")
-    return profile.join(reached, "account").withColumns({
-        "upsell_kind": F.when(more > 0, "Upsell").otherwise("Other"),
-        "upsell_rgus": more,
-        "upsell_named_rgus": F.col("last_named_rgus") - F.col("first_named_rgus"),
-        "product_changed": F.col("changed_products") > 0,
-    })
-
-
-def merge_sales(gross_adds: DataFrame, upsells: DataFrame) -> DataFrame:
-    """Gross adds and upsells in one layout; columns one side lacks are null."""
-    return (gross_adds.withColumn("base", F.lit("Gross-add"))
-            .unionByName(upsells.withColumn("base", F.lit("Upsell")), allowMissingColumns=True))
+    day, inside = F.col("dt"), in_period(F.col("dt"), period, grain)
+    window = day.between(shift_period(period, -back, grain), shift_period(period, ahead, grain))
+    entry = F.when(inside, F.struct(F.struct("dt", "row_id").alias("by"), F.struct("mix_qty", "mrc", *NAMES).alias("s")))
+    by_count = snap.where(window | inside).groupBy("account", "mix_qty").agg(
+        F.min(F.when(window, day)).alias("seen"), F.min(F.when(inside, day)).alias("on"),
+        F.min(entry).alias("f"), F.max(entry).alias("l"))
+    ends = by_count.groupBy("account").agg(
+        F.min("seen").alias("seen"), F.min("f").alias("f"), F.max("l").alias("l"),
+        F.collect_list(F.struct("mix_qty", "on")).alias("counts"))  # one entry per RGU count
+    new = F.coalesce(in_period(F.col("seen"), period, grain), F.lit(False))
+    at = lambda side, c: F.col(f"{side}.s.{c}")
+    more = at("l", "mix_qty") - at("f", "mix_qty")
+    named = lambda side: sum(flag(at(side, n).isNotNull()) for n in NAMES)
+    changed = sum(flag(F.coalesce(at("l", n), F.lit("NA")) != F.coalesce(at("f", n), F.lit("NA"))) for n in NAMES)
+    final = F.filter("counts", lambda c: c["mix_qty"] == at("l", "mix_qty"))
+    columns = {
+        "first_mix_qty": at("f", "mix_qty"), "last_mix_qty": at("l", "mix_qty"),
+        "first_named_rgus": named("f"), "last_named_rgus": named("l"), "changed_products": changed,
+        "mrc_change": F.round(at("l", "mrc") - at("f", "mrc"), 2),
+        "reached_on": F.array_min(F.transform(final, lambda c: c["on"])),
+        "upsell_kind": F.when(more > 0, "Upsell").otherwise("Other"), "upsell_rgus": more,
+        "upsell_named_rgus": named("l") - named("f"), "product_changed": changed > 0,
+    }
+    return ends.where(new | F.col("f").isNotNull()).select(
+        "account", F.when(new, "Gross-add").otherwise("Upsell").alias("base"),
+        *[F.when(~new, c).alias(n) for n, c in columns.items()])
 
 
 def sales_flags(merged: DataFrame) -> DataFrame:
@@ -231,8 +229,3 @@ def rgu_compare(flagged: DataFrame) -> DataFrame:
     return flagged.where(reported != counted).withColumn(
         "greater", F.when(reported > counted, "reported").otherwise("counted"))
 
-
-def attributes_at_first_sale(sales: DataFrame, values: Sequence[str]) -> DataFrame:
-    """First known value of each attribute of an account, each on its own."""
-    return sales.groupBy("account").agg(
-        *[first_non_null(F.col(v), F.col("sale_day")).alias(v) for v in values])

@@ -12,6 +12,7 @@ from abonara.functions.profile import overdue_age
 from abonara.operators import billing as B
 from abonara.operators import cohort as H
 from abonara.operators import sales as G
+from abonara.operators import timeline as L
 from abonara.plans.fixtures import Inputs
 from abonara.plans.tables import repaired
 
@@ -39,38 +40,66 @@ def paid(inputs: Inputs, facts: DataFrame, look_back: int = LOOK_BACK) -> DataFr
     return B.payment_windows(inputs.payments, facts, HORIZONS, look_back, B.days(22))
 
 
-def billed_sales(inputs: Inputs) -> DataFrame:
+def stream(inputs: Inputs) -> DataFrame:
+    """Charges and payments of every account by day."""
+    return L.day_rows(inputs.bills, inputs.payments)
+
+
+def flagged(inputs: Inputs, facts: DataFrame) -> DataFrame:
+    """Never-paid flags and the first sufficient payment of billing facts."""
+    covered = facts.join(L.first_sufficient(inputs.payments, facts), "account", "left")
+    return B.npn_columns(covered, list(HORIZONS), never=22)
+
+
+def never_paid(inputs: Inputs) -> DataFrame:
     """Every account with its first cycle, payments and never-paid flags."""
-    facts = cycle(inputs)
-    flagged = B.npn_flags(facts, paid(inputs, facts), list(HORIZONS), never=22)
-    return B.window_complete(flagged, day(AS_OF), [7, 14, 21])
+    facts = L.billing_facts(stream(inputs), HORIZONS, B.days(8), LOOK_BACK, B.days(22))
+    since = F.datediff(day(AS_OF), F.col("first_bill"))
+    return flagged(inputs, facts.withColumn("days_since_bill", since))
+
+
+def billed_sales(inputs: Inputs) -> DataFrame:
+    return B.window_complete(never_paid(inputs), day(AS_OF), [7, 14, 21])
 
 
 def newcomers(inputs: Inputs) -> DataFrame:
     return G.new_by_first_seen(inputs.bills, day(RUN_WEEK), back=3, ahead=3, grain="week")
 
 
+def week_accounts(inputs: Inputs) -> DataFrame:
+    """Gross adds and upsell candidates of the run week."""
+    return G.newcomers_and_upsells(inputs.bills, day(RUN_WEEK), back=3, ahead=3, grain="week")
+
+
 def upsells(inputs: Inputs) -> DataFrame:
-    return G.upsell_base(inputs.bills, newcomers(inputs), day(RUN_WEEK), "week")
+    return week_accounts(inputs).where("base = 'Upsell'").drop("base")
+
+
+def billed(inputs: Inputs, accounts: DataFrame) -> DataFrame:
+    """Billing facts of gross adds from the first bill on, and of upsells from the change on.
+
+    Only the wanted accounts are taken from the stream of charges and payments.
+    """
+    rows = stream(inputs).join(accounts, "account")
+    gross = F.col("reached_on").isNull()
+    carried = [c for c in accounts.columns if c != "account"]
+    return L.billing_facts(rows, HORIZONS, B.days(8), F.when(gross, LOOK_BACK).otherwise(0), B.days(22),
+                           F.col("reached_on"), carried)
 
 
 def billed_upsells(inputs: Inputs) -> DataFrame:
     """Upsell candidates with first bill, charge and payments from the change on."""
-    base = upsells(inputs)
-    since = base.select("account", F.col("reached_on").alias("since_dt"))
-    bills = B.first_bill(inputs.bills, since)
-    mrc = B.max_mrc_window(inputs.bills, bills, B.days(8)).drop("mrcs")
-    flagged = B.npn_flags(mrc, paid(inputs, mrc, 0), list(HORIZONS), never=22)
-    return base.join(flagged, "account")
+    return flagged(inputs, billed(inputs, upsells(inputs))).drop("max_rgus", "first_day")
 
 
 def merged_sales(inputs: Inputs) -> DataFrame:
-    """Gross adds and upsells of the run week with sale attributes and labels."""
-    gross = billed_sales(inputs).join(newcomers(inputs).select("account"), "account", "left_semi")
-    keep = ["account", "first_bill", "max_mrc", "paid_total", "npn_7", "npn_14", "npn_21", "npn"]
-    more = ["first_mix_qty", "last_mix_qty", "upsell_kind", "upsell_rgus", "upsell_named_rgus"]
-    merged = G.merge_sales(gross.select("max_rgus", *keep), billed_upsells(inputs).select(*keep, *more))
-    return G.sales_flags(merged.join(G.first_sale_attrs(inputs.gross_adds), "account"))
+    """Gross adds and upsells of the run week in one layout, with sale attributes and labels."""
+    facts = billed(inputs, week_accounts(inputs))
+    sold = B.npn_columns(facts, list(HORIZONS), never=22).withColumn(
+        "max_rgus", F.when(F.col("base") == "Gross-add", F.col("max_rgus"))).select(
+        "account", "base", "first_bill", "max_mrc", "paid_total", "npn_7", "npn_14", "npn_21", "npn", "max_rgus",
+        "first_mix_qty", "last_mix_qty", "upsell_kind", "upsell_rgus", "upsell_named_rgus")
+    return G.sales_flags(sold.join(G.first_sale_attrs(inputs.gross_adds), "account"))
 
 
 # -- cohorts ---------------------------------------------------------------------------
