@@ -8,6 +8,7 @@ from abonara.functions import values as V
 from abonara.operators import converge as C
 from abonara.operators import converge_phone as CP
 from abonara.plans import tables as T
+from abonara.session import written
 
 LAST10 = "lpad(right({0}, 10), 10, '0')"
 
@@ -269,11 +270,16 @@ fragment("phone_base", "phone_matches", f"""
   FULL JOIN phone_mobile m ON m.mobile_account = f.matched AND m.period = f.period""")
 
 
+def _phone_tables(inputs):
+    """Both tables of this market, saved: matching and joining read them."""
+    return written(T.phone_fixed(inputs), "phone_fixed"), written(T.phone_mobile(inputs), "phone_mobile")
+
+
 @case("phone_fmc_base", "F14", "phone_base", """
   SELECT period, fmc_account, fixed_account, mobile_account, mobile_copy, fmc_b_active, fmc_e_active,
     fmc_b_tenure, fmc_e_tenure, fmc_b_rgus, fmc_e_rgus, fmc_b_mrc, fmc_e_mrc FROM phone_base""")
 def _(inputs):
-    return T.phone_fmc_base(inputs).select(
+    return T.phone_fmc_base(*_phone_tables(inputs)).select(
         "period", "fmc_account", "fixed_account", "mobile_account", "mobile_copy",
         *[f"fmc_{s}_{c}" for s in "be" for c in ("active", "tenure", "rgus", "mrc")])
 
@@ -304,7 +310,7 @@ fragment("phone_class", "phone_base prepaid_phones", f"""
 @case("phone_fmc_classes", "F15", "phone_class", """
   SELECT period, fmc_account, fmc_b_class, fmc_e_class FROM phone_class""")
 def _(inputs):
-    return T.phone_fmc_adjusted(inputs).select("period", "fmc_account", "fmc_b_class", "fmc_e_class")
+    return T.phone_fmc_adjusted(*_phone_tables(inputs), T.prepaid_phones(inputs)).select("period", "fmc_account", "fmc_b_class", "fmc_e_class")
 
 
 def _segment(s):
@@ -337,7 +343,7 @@ fragment("phone_adjusted", "phone_class", f"""
   SELECT period, fmc_account, fmc_b_segment, fmc_e_segment, fmc_b_tech, fmc_e_tech, fmc_rejoiner,
     fmc_churn_flag, fmc_churn_type FROM phone_adjusted""")
 def _(inputs):
-    return T.phone_fmc_adjusted(inputs).select(
+    return T.phone_fmc_adjusted(*_phone_tables(inputs), T.prepaid_phones(inputs)).select(
         "period", "fmc_account", "fmc_b_segment", "fmc_e_segment", "fmc_b_tech", "fmc_e_tech",
         "fmc_rejoiner", "fmc_churn_flag", "fmc_churn_type")
 
@@ -381,7 +387,7 @@ fragment("phone_table", "phone_adjusted", """
 @case("phone_fmc_waterfall", "F17", "phone_table", """
   SELECT period, fmc_account, fmc_rejoiner_final, partial_total_churn, waterfall FROM phone_table""")
 def _(inputs):
-    return T.phone_fmc_table(inputs).select(
+    return T.phone_fmc_table(*_phone_tables(inputs), T.prepaid_phones(inputs)).select(
         "period", "fmc_account", "fmc_rejoiner_final", "partial_total_churn", "waterfall")
 
 

@@ -100,7 +100,7 @@ def _(inputs):
 fragment("max_mrc", "bills first_bills", """
   SELECT b.account, first_bill, max(mrc) AS max_mrc,
     list_sort(list(DISTINCT mrc), 'DESC') AS mrcs
-  FROM bills b JOIN first_bills f ON f.account = b.account
+  FROM (SELECT account, dt, max(mrc) AS mrc FROM bills GROUP BY ALL) b JOIN first_bills f ON f.account = b.account
     AND dt BETWEEN first_bill AND first_bill + 7 GROUP BY ALL""")
 
 

@@ -46,10 +46,11 @@ def first_bill(rows: DataFrame, since: DataFrame | None = None) -> DataFrame:
 def max_mrc_window(rows: DataFrame, bills: DataFrame, until: Until) -> DataFrame:
     """Highest charge, and the distinct charges in falling order, from the first bill on.
 
-    The list holds the distinct charges of one account inside the window, which has at
-    most one snapshot row per day.
+    An account has one charge a day, the highest of it, so the list is bounded by the days of the
+    window.
     """
-    inside = rows.join(bills, "account").where(
+    daily = rows.groupBy("account", "dt").agg(F.max("mrc").alias("mrc"))
+    inside = daily.join(bills, "account").where(
         F.col("dt").between(F.col("first_bill"), until(F.col("first_bill"))))
     return inside.groupBy("account", "first_bill").agg(
         F.max("mrc").alias("max_mrc"), F.sort_array(F.collect_set("mrc"), asc=False).alias("mrcs"))

@@ -193,19 +193,21 @@ def truckroll_match(contacts: DataFrame, truckrolls: DataFrame) -> DataFrame:
         classify_technical(F.col("purpose_text"))))
 
 
-def attach_flags(base: DataFrame, flags: dict[str, DataFrame], extra: Sequence[str] = ()) -> DataFrame:
+def attach_flags(base: DataFrame, flags: dict[str | tuple[str, ...], DataFrame]) -> DataFrame:
     """Attach account flags of many operators with a single join.
 
-    Each table in ``flags`` marks account-periods. They are stacked, reduced to one row
-    per account-period, and joined once, so flags can neither repeat base rows nor cost a
-    join each.
+    Each table in ``flags`` marks account-periods; a table under several names has a column
+    ``mark`` with one of them. They are stacked, reduced to one row per account-period, and
+    joined once, so flags can neither repeat base rows nor cost a join each, and a table that
+    tells several flags is computed once.
     """
-    marks = None
+    marks, names = None, []
     for name, table in flags.items():
-        one = table.select(*KEYS).withColumn("_flag", F.lit(name))
+        names += [name] if isinstance(name, str) else name
+        one = table.select(*KEYS, (F.lit(name) if isinstance(name, str) else F.col("mark")).alias("_flag"))
         marks = one if marks is None else marks.unionByName(one)
     wide = marks.groupBy(*KEYS).agg(
-        *[F.max(F.when(F.col("_flag") == n, F.col("account"))).alias(n) for n in flags])
+        *[F.max(F.when(F.col("_flag") == n, F.col("account"))).alias(n) for n in names])
     return base.join(wide, KEYS, "left")
 
 
@@ -223,8 +225,10 @@ def driver_summary(df: DataFrame, dims: Sequence[str], flags: Sequence[str], sum
         *[F.sum(s).alias(s) for s in sums])
 
 
-def without_churners(df: DataFrame, labels: Sequence[str] = (
-        "Fixed Churner", "Full Churner", "Customer Gap", "Churn Exception")) -> DataFrame:
+CHURN_LABELS = ("Fixed Churner", "Full Churner", "Customer Gap", "Churn Exception")
+
+
+def without_churners(df: DataFrame, labels: Sequence[str] = CHURN_LABELS) -> DataFrame:
     """Drop churned rows; a null churn flag drops the row as well, as ``<>`` does."""
     return df.where(~F.col("final_churn_flag").isin(*labels))
 

@@ -83,25 +83,32 @@ def share(part: str, whole: str, digits: int = 4) -> Column:
     return F.round(F.try_divide(F.sum(part), F.sum(whole)), digits)
 
 
-def driver_kpis(summary: DataFrame) -> DataFrame:
-    """Driver totals per period and their ratios to sales and to the unchanged base."""
+def driver_measures() -> list[Column]:
     totals = ["active_base", "sales", "soft_dx", "long_install", "early_contact", "early_ticket",
               "bill_claim", "bill_shock", "no_plan_change", "mounting_bill"]
-    return summary.groupBy("period").agg(
+    return [
         *[F.sum(t).alias(t) for t in totals],
         share("bill_shock", "no_plan_change").alias("mrc_change_share"),
         *[share(t, "sales").alias(f"{t}_share")
-          for t in ("soft_dx", "long_install", "early_contact", "early_ticket")])
+          for t in ("soft_dx", "long_install", "early_contact", "early_ticket")]]
 
 
-def contact_kpis(summary: DataFrame) -> DataFrame:
-    """Repeat callers and tickets per account and period."""
+def contact_measures() -> list[Column]:
     repeat = F.sum(F.col("two_calls") + F.col("more_calls"))
-    return summary.groupBy("period").agg(
-        F.sum("active_base").alias("active_base"), repeat.alias("repeat_callers"),
-        F.sum("tickets").alias("tickets"),
+    return [
+        repeat.alias("repeat_callers"), F.sum("tickets").alias("tickets"),
         F.round(F.try_divide(repeat, F.sum("active_base")), 4).alias("repeat_share"),
-        share("tickets", "active_base").alias("tickets_per_account"))
+        share("tickets", "active_base").alias("tickets_per_account")]
+
+
+def driver_kpis(summary: DataFrame) -> DataFrame:
+    """Driver totals per period and their ratios to sales and to the unchanged base."""
+    return summary.groupBy("period").agg(*driver_measures())
+
+
+def contact_kpis(summary: DataFrame) -> DataFrame:
+    """Repeat callers and tickets per account and period."""
+    return summary.groupBy("period").agg(F.sum("active_base").alias("active_base"), *contact_measures())
 
 
 def additional_kpis(tables: Iterable[DataFrame]) -> DataFrame:
@@ -129,14 +136,20 @@ def service_delivery(weekly: DataFrame, market: str, network: str) -> DataFrame:
 LONG = ["period", "market", "facet", "waypoint", "kpi_name", "kpi_meas", "kpi_num", "kpi_den", "delay"]
 
 
-def to_long(wide: DataFrame, specs: Sequence[Kpi], market: str = "all") -> DataFrame:
-    """Wide measures to long KPI rows, one per period and spec, in a single pass."""
+def to_long(wide: DataFrame, specs: Sequence[Kpi], market: str = "all", empty: Sequence[Kpi] = ()) -> DataFrame:
+    """Wide measures to long KPI rows, one per period and spec, in a single pass.
+
+    With ``empty``, periods without an active base get only these specs, other periods both.
+    """
     number = lambda c: (F.col(c) if c else F.lit(None)).cast("double")
-    rows = F.array(*[F.struct(
+    rows = lambda chosen: F.array(*[F.struct(
         F.lit(s.facet).alias("facet"), F.lit(s.waypoint).alias("waypoint"), F.lit(s.name).alias("kpi_name"),
         number(s.meas).alias("kpi_meas"), number(s.num).alias("kpi_num"), number(s.den).alias("kpi_den"),
-        F.lit(s.delay).alias("delay")) for s in specs])
-    return wide.select("period", F.lit(market).alias("market"), F.inline(rows))
+        F.lit(s.delay).alias("delay")) for s in chosen])
+    shown = rows([*specs, *empty])
+    if empty:
+        shown = F.when(F.col("active_base") > 0, shown).otherwise(rows(empty))
+    return wide.select("period", F.lit(market).alias("market"), F.inline(shown))
 
 
 def placeholder_kpis(periods: DataFrame, specs: Sequence[Kpi] = PLACEHOLDERS, market: str = "all") -> DataFrame:

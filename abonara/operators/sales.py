@@ -45,10 +45,11 @@ def new_by_connect(snap: DataFrame, period: Column, back: int = 0, grain: str =
     """Accounts whose latest known connect date lies in the period ``back`` before.
 
     Only rows up to the end of the period with a connect date in it or in the ``span``
-    periods before count, so a later run of an old period gives the same answer.
+    periods before count, so a later run of an old period gives the same answer. No row is older
+    than the connect date it tells, so older days are not read.
     """
-    end = F.date_sub(shift_period(period, 1, grain), 1)
-    seen = snap.where((F.col("dt") <= end) & F.col(connect).between(shift_period(period, -span, grain), end))
+    start, end = shift_period(period, -span, grain), F.date_sub(shift_period(period, 1, grain), 1)
+    seen = snap.where(F.col("dt").between(start, end) & F.col(connect).between(start, end))
     latest = seen.groupBy("account").agg(F.max_by(connect, "dt").alias("connect_dt"))
     return latest.where(in_period(F.col("connect_dt"), shift_period(period, -back, grain), grain)).withColumn(
         "install_period", period_of(F.col("connect_dt"), grain))
@@ -115,8 +116,12 @@ def densest_day_cohort(sales: DataFrame, grain: str = "month") -> DataFrame:
 
 
 def soft_dx(ages: DataFrame, cohort: DataFrame, soft: int = 26, hard: int = 90) -> DataFrame:
-    """Soft disconnects and never-paid accounts of a cohort by their highest repaired age."""
-    peaks = ages.groupBy("account").agg(F.max("age_fix").alias("max_age"))
+    """Soft disconnects and never-paid accounts of a cohort by their highest repaired age.
+
+    Only rows of the cohort's accounts are aggregated.
+    """
+    own = ages.join(cohort.select("account"), "account", "left_semi")
+    peaks = own.groupBy("account").agg(F.max("age_fix").alias("max_age"))
     age = F.col("max_age")
     return (cohort.select("period", "account").join(peaks, "account", "left")
             .withColumns({"soft_dx": F.when((age >= soft) & (age < hard), F.col("account")),

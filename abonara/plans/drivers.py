@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window, functions as F
 
 from abonara.functions.calendar import period_of, shift_period
+from abonara.functions.rules import first_match
 from abonara.operators import contact as I
 from abonara.operators import kpi as J
 from abonara.operators import sales as G
@@ -76,10 +77,9 @@ def mounting(inputs: Inputs) -> DataFrame:
     return I.mounting_bill(inputs.usage, 60, GRAIN, age="age").where("mounting_bill = 1")
 
 
-def driver_table(inputs: Inputs, as_of: str = AS_OF) -> DataFrame:
-    """Account-week base with every driver flag, joined once."""
+def driver_flags(inputs: Inputs) -> dict:
     sold = sales(inputs)
-    flags = {
+    return {
         "sales": sold.withColumn("period", period_of(F.col("sale_day"), GRAIN)),
         "soft_dx": soft_disconnects(inputs),
         "long_install": I.long_install(inputs.install_orders, 5, GRAIN),
@@ -88,20 +88,42 @@ def driver_table(inputs: Inputs, as_of: str = AS_OF) -> DataFrame:
         "bill_claim": I.bill_claims(contacts(inputs), BILLING, GRAIN),
         "mounting_bill": mounting(inputs),
     }
-    return I.attach_flags(I.bill_shock(base(inputs, as_of)), flags)
 
 
-def contact_table(inputs: Inputs, as_of: str = AS_OF) -> DataFrame:
-    """Account-week base with every contact flag and the ticket count."""
+def driver_table(inputs: Inputs, as_of: str = AS_OF) -> DataFrame:
+    """Account-week base with every driver flag, joined once."""
+    return I.attach_flags(I.bill_shock(base(inputs, as_of)), driver_flags(inputs))
+
+
+def contact_flags(inputs: Inputs) -> dict:
     deduped = contacts(inputs)
     callers = I.repeat_callers(deduped, 7, EXCLUDED, GRAIN)
     tiers = I.ticket_tiers(tickets(inputs), 7, GRAIN)
-    flags = {n: callers.where(F.col(n).isNotNull()) for n in ("one_call", "two_calls", "more_calls")}
-    flags |= {n: tiers.where(F.col("tier") == t)
-              for n, t in (("one_ticket", "1"), ("two_tickets", "2"), ("more_tickets", "3+"))}
-    flags["failed"] = I.failed_visits(deduped, GRAIN)
-    density = I.ticket_density(deduped, TECHNICAL, GRAIN)
-    return I.attach_flags(base(inputs, as_of), flags).join(density, ["account", "period"], "left")
+    calls, ticketed = ("one_call", "two_calls", "more_calls"), {"1": "one_ticket", "2": "two_tickets", "3+": "more_tickets"}
+    return {
+        calls: callers.withColumn("mark", first_match([(F.col(n).isNotNull(), n) for n in calls])),
+        tuple(ticketed.values()): tiers.withColumn("mark", first_match([(F.col("tier") == t, n) for t, n in ticketed.items()])),
+        "failed": I.failed_visits(deduped, GRAIN),
+    }
+
+
+def contact_table(inputs: Inputs, as_of: str = AS_OF) -> DataFrame:
+    """Account-week base with every contact flag and the ticket count."""
+    density = I.ticket_density(contacts(inputs), TECHNICAL, GRAIN)
+    return I.attach_flags(base(inputs, as_of), contact_flags(inputs)).join(density, ["account", "period"], "left")
+
+
+def week_summary(inputs: Inputs, dims=("period", "segment")) -> DataFrame:
+    """Driver and contact summary in one: base, flags and dimensions are computed once.
+
+    Periods in which every account churned stay, with an ``active_base`` of 0.
+    """
+    flagged = I.attach_flags(I.bill_shock(base(inputs)), driver_flags(inputs) | contact_flags(inputs))
+    table = flagged.join(I.ticket_density(contacts(inputs), TECHNICAL, GRAIN), ["account", "period"], "left")
+    stays = ~F.col("final_churn_flag").isin(*I.CHURN_LABELS)
+    names = DRIVER_FLAGS + CONTACT_FLAGS
+    kept = table.withColumns({n: F.when(stays, F.col(n)) for n in ["account", "tickets", *names]})
+    return I.driver_summary(kept, list(dims), names, ["tickets"])
 
 
 def driver_summary(inputs: Inputs, dims=("period", "segment")) -> DataFrame:
@@ -151,10 +173,6 @@ def delivery(inputs: Inputs) -> DataFrame:
 
 def long_kpis(inputs: Inputs) -> DataFrame:
     """Measured and placeholder KPI rows of all parts."""
-    drivers = J.driver_kpis(driver_summary(inputs))
+    measured = week_summary(inputs).groupBy("period").agg(*J.driver_measures(), *J.contact_measures())
     return J.combine_kpis([
-        J.to_long(drivers, J.MEASURED),
-        J.to_long(J.contact_kpis(contact_summary(inputs)), J.CONTACT),
-        J.to_long(delivery(inputs), J.DELIVERY),
-        J.placeholder_kpis(base(inputs)),
-    ])
+        J.to_long(measured, J.MEASURED + J.CONTACT, empty=J.PLACEHOLDERS), J.to_long(delivery(inputs), J.DELIVERY)])

@@ -8,9 +8,10 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
-from abonara.functions.profile import overdue_age
+from abonara.functions.profile import flag, overdue_age
 from abonara.operators import billing as B
 from abonara.operators import cohort as H
+from abonara.operators import history as A
 from abonara.operators import sales as G
 from abonara.operators import timeline as L
 from abonara.plans.fixtures import Inputs
@@ -117,15 +118,34 @@ def cohort_sales(inputs: Inputs) -> DataFrame:
         F.min_by("priority", "period").alias("movement"))
 
 
+def followed(inputs: Inputs) -> DataFrame:
+    """Every account with its live closing rows of the periods after its first."""
+    closing = inputs.closing.withColumnsRenamed({"bill_amt": "mrc", "num_rgus": "rgus", "priority": "movement"})
+    return A.follow(closing, ["age", "unpaid_dt", "mrc", "rgus", "movement"], F.col("mix") != "0P", PERIODS, "quarter")
+
+
+def survived(inputs: Inputs) -> DataFrame:
+    panel = A.survival(followed(inputs), "quarter", 90, gap_periods=("1998-10-01",))
+    return A.losses(panel, day(COHORT_AS_OF), "quarter")
+
+
+PANEL = {"surv": "surv", "age": "age", "churn": "churn", "churn_type": "churn_type"}
+
+
 def panel(inputs: Inputs) -> DataFrame:
-    survived = H.survival_panel(
-        cohort_sales(inputs), inputs.closing, PERIODS, "quarter", 90,
-        live=F.col("mix") != "0P", gap_periods=("1998-10-01",))
-    return H.churn_type(H.churn_month(survived, day(COHORT_AS_OF), PERIODS, "quarter"), PERIODS)
+    return A.wide(survived(inputs), ["account", "sale_period", "max_unpaid_dt"], PANEL, PERIODS)
 
 
 def mortality(inputs: Inputs) -> DataFrame:
-    return H.mortality(panel(inputs), cohort_sales(inputs), 6, ("2001-04-01",))
+    """Sold accounts with their panel and whether they are gone at the sixth period.
+
+    Cohorts without data at the end never count as gone.
+    """
+    incomplete = F.col("sale_period") == day("2001-04-01")
+    rows = survived(inputs).withColumns({
+        "rgus_sold": F.col("first.rgus"), "movement": F.col("first.movement"),
+        "churned": flag(F.get("surv", F.lit(6)).isNull() & ~incomplete)})
+    return A.wide(rows, ["account", "sale_period", "rgus_sold", "movement", "max_unpaid_dt", "churned"], PANEL, PERIODS)
 
 
 def cohort_flags(inputs: Inputs) -> DataFrame:
@@ -135,8 +155,10 @@ def cohort_flags(inputs: Inputs) -> DataFrame:
 
 
 def arpu(inputs: Inputs) -> DataFrame:
-    closing = inputs.closing.withColumn("mrc", F.col("bill_amt"))
-    return H.arpu_panel(cohort_sales(inputs), closing, PERIODS, "quarter", F.col("mix") != "0P")
+    """Charge and RGUs of each account per period after the first."""
+    rows = followed(inputs).where(A.seen())
+    of = lambda name: F.transform("slots", lambda s: s[name])
+    return A.wide(rows, ["account", "sale_period"], {"mrc": of("mrc"), "rgus": of("rgus")}, PERIODS)
 
 
 def with_overdue(inputs: Inputs) -> DataFrame:

@@ -20,7 +20,6 @@ from abonara.operators import converge_phone as CP
 from abonara.operators import dedup as D
 from abonara.operators import snapshot as S
 from abonara.plans.fixtures import Inputs
-from abonara.session import written
 
 GRAIN = "quarter"
 PAIR_COLUMNS = ["num_rgus", "mix", "age", "age_fix", "bill_amt", "vo_nm", "tv_nm", "bb_nm", "tenure",
@@ -247,17 +246,18 @@ def prepaid_phones(inputs: Inputs) -> DataFrame:
         P.flag(F.col("o_orderstatus") == "F").alias("on_e"))
 
 
-def phone_fmc_base(inputs: Inputs) -> DataFrame:
-    """Both account-period tables are needed for matching and for the join: written once."""
-    fixed = written(phone_fixed(inputs), "phone_fixed")
-    mobile = written(phone_mobile(inputs), "phone_mobile")
+def phone_fmc_base(fixed: DataFrame, mobile: DataFrame) -> DataFrame:
+    """Base of the phone-matched market.
+
+    Matching and joining both read the two account-period tables: pass saved ones.
+    """
     return CP.fmc_base(fixed, mobile, CP.phone_converge(fixed, mobile))
 
 
-def phone_fmc_adjusted(inputs: Inputs) -> DataFrame:
-    return CP.fmc_adjust(CP.fmc_class(phone_fmc_base(inputs), prepaid_phones(inputs), REAL_CODES))
+def phone_fmc_adjusted(fixed: DataFrame, mobile: DataFrame, prepaid: DataFrame) -> DataFrame:
+    return CP.fmc_adjust(CP.fmc_class(phone_fmc_base(fixed, mobile), prepaid, REAL_CODES))
 
 
-def phone_fmc_table(inputs: Inputs) -> DataFrame:
+def phone_fmc_table(fixed: DataFrame, mobile: DataFrame, prepaid: DataFrame) -> DataFrame:
     """Converged table of the phone-matched market."""
-    return CP.fmc_waterfall(phone_fmc_adjusted(inputs))
+    return CP.fmc_waterfall(phone_fmc_adjusted(fixed, mobile, prepaid))
