@@ -40,13 +40,13 @@ fragment("order_lines", "", """
 
 fragment("snap", "order_lines", """
   SELECT account, dt, order_id, status, priority, vo_nm, tv_nm, bb_nm, mrc_vo, mrc_tv, mrc_bb,
-    bill_amt, age, bill_dt, due_dt, inst_dt, last_pay_dt,
+    bill_amt, phone, age, bill_dt, due_dt, inst_dt, last_pay_dt,
     CASE WHEN age IS NULL THEN DATE '1900-01-01' ELSE CAST(dt - age AS DATE) END AS unpaid_dt
   FROM (
     SELECT CAST(o_custkey AS VARCHAR) AS account, CAST(o_orderdate AS DATE) AS dt,
       o_orderkey AS order_id, o_orderstatus AS status, o_orderpriority AS priority, vo_nm,
       CASE WHEN tv_nm IS NULL AND o_orderstatus = 'O' THEN '' ELSE tv_nm END AS tv_nm, bb_nm,
-      mrc_vo, mrc_tv, mrc_bb, o_totalprice AS bill_amt,
+      mrc_vo, mrc_tv, mrc_bb, o_totalprice AS bill_amt, '2' || lpad(CAST(o_custkey AS VARCHAR), 7, '0') AS phone,
       CASE WHEN o_orderstatus <> 'P' THEN double_quantity END AS age,
       CAST(o_orderdate AS DATE) - lines AS bill_dt,
       CAST(o_orderdate AS DATE) - lines + 15 AS due_dt,
@@ -60,7 +60,10 @@ fragment("snap", "order_lines", """
 fragment("profiled", "snap", """
   SELECT *, CAST(rgu_vo + rgu_tv + rgu_bb AS INTEGER) AS num_rgus,
     CAST(rgu_vo + rgu_tv + rgu_bb AS VARCHAR) || 'P' AS mix,
-    CASE WHEN bb_nm = 'PROMO' OR (tv_nm = 'MEDIUM' AND bb_nm IS NULL) THEN 'FTTH' ELSE 'HFC' END AS tech
+    CASE WHEN bb_nm = 'PROMO' OR (tv_nm = 'MEDIUM' AND bb_nm IS NULL) THEN 'FTTH' ELSE 'HFC' END AS tech,
+    CASE rgu_bb * 100 + rgu_tv * 10 + rgu_vo WHEN 1 THEN 'VO' WHEN 10 THEN 'TV' WHEN 100 THEN 'BB' WHEN 11 THEN 'TV+VO'
+      WHEN 110 THEN 'BB+TV' WHEN 101 THEN 'BB+VO' WHEN 111 THEN 'BB+TV+VO' END AS bundle,
+    round(mrc_vo + mrc_bb + mrc_tv, 0) AS charge
   FROM (SELECT *,
       CASE WHEN coalesce(vo_nm, '') = '' THEN 0 ELSE 1 END AS rgu_vo,
       CASE WHEN coalesce(tv_nm, '') = '' THEN 0 ELSE 1 END AS rgu_tv,

@@ -163,25 +163,30 @@ def transfer_flag(churned: DataFrame, movements: DataFrame, balances: DataFrame)
 
     Contract facts are one row per key, so one join each replaces the membership tests.
     """
-    movement = F.col("main_movement")
-    switched_out = (F.col("last_code") == V.LOG_SWITCH) & (F.col("last_kind") == V.LOG_OUT)
-    switched_in = (F.col("first_code") == V.LOG_SWITCH) & (F.col("first_kind") == V.LOG_IN)
     facts = movements.select("key", "period", "first_code", "first_kind", "last_code", "last_kind")
     return (
         churned.withColumn("key", last10(F.col("account")))
         .join(facts, ["key", "period"], "left")
         .join(balances, ["key"], "left")
-        .withColumn("transfer_flag", first_match([
-            (F.col("churn_type").isNull() & (movement == V.LOSS) & switched_out, V.TRANSFER_OUT),
-            ((movement == V.DOWNSELL) & switched_out & (F.col("balance") < 0), V.TRANSFER_OUT),
-            ((movement == V.NEW) & switched_in, V.TRANSFER_IN),
-            # The balance counts only for contracts that moved in the period at all.
-            ((movement == V.UPSELL) & F.col("last_code").isNotNull() & (F.col("balance") > 0),
-             V.TRANSFER_IN),
-        ]))
+        .withColumn("transfer_flag", transfer_rule())
         .drop("key", "first_code", "first_kind", "last_code", "last_kind", "balance"))
 
 
+def transfer_rule() -> Column:
+    """Transfer in or out, on rows that have movement, churn type, log entries and balance."""
+    movement = F.col("main_movement")
+    switched_out = (F.col("last_code") == V.LOG_SWITCH) & (F.col("last_kind") == V.LOG_OUT)
+    switched_in = (F.col("first_code") == V.LOG_SWITCH) & (F.col("first_kind") == V.LOG_IN)
+    return first_match([
+        (F.col("churn_type").isNull() & (movement == V.LOSS) & switched_out, V.TRANSFER_OUT),
+        ((movement == V.DOWNSELL) & switched_out & (F.col("balance") < 0), V.TRANSFER_OUT),
+        ((movement == V.NEW) & switched_in, V.TRANSFER_IN),
+        # The balance counts only for contracts that moved in the period at all.
+        ((movement == V.UPSELL) & F.col("last_code").isNotNull() & (F.col("balance") > 0),
+         V.TRANSFER_IN),
+    ])
+
+
 def transfer_flag_by_orders(churned: DataFrame, orders: DataFrame, grain: str = "month") -> DataFrame:
     """Transfer in or out from coded service orders completed in the period."""
     command = F.col("command")

@@ -16,7 +16,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
 from abonara.functions import values as V
 from abonara.functions.calendar import period_of
-from abonara.functions.profile import flag, oldest_unpaid, product_mix, rgu_count, rgu_flags, tech_flag
+from abonara.functions.profile import bundle_name, flag, mrc_total, oldest_unpaid, product_mix, rgu_count, rgu_flags, tech_flag
 from abonara.functions.rules import first_match
 from abonara.operators.dedup import keep_one, repair_age
 from abonara.operators.snapshot import account_closing
@@ -93,6 +93,7 @@ class Inputs:
                 F.coalesce("tv_nm", F.when(F.col("o_orderstatus") == "O", F.lit(""))).alias("tv_nm"),
                 "bb_nm", "mrc_vo", "mrc_tv", "mrc_bb",
                 F.col("o_totalprice").alias("bill_amt"),
+                F.concat(F.lit("2"), F.lpad(F.col("o_custkey").cast("string"), 7, "0")).alias("phone"),
                 F.when(~pending, F.col("double_quantity")).alias("age"),
                 F.date_sub(dt, F.col("lines")).alias("bill_dt"),
                 F.date_add(F.date_sub(dt, F.col("lines")), 15).alias("due_dt"),
@@ -105,9 +106,10 @@ class Inputs:
 
     @cached_property
     def profiled(self) -> DataFrame:
-        """Snapshot with RGU flags, count, mix and technology."""
+        """Snapshot with RGU flags, count, mix, technology, bundle name and rounded charge."""
         return rgu_flags(self.snap).withColumns({
-            "num_rgus": rgu_count(), "mix": product_mix(), "tech": tech_flag("PROMO", "MEDIUM")})
+            "num_rgus": rgu_count(), "mix": product_mix(), "tech": tech_flag("PROMO", "MEDIUM"), "bundle": bundle_name(),
+            "charge": mrc_total(F.col("mrc_vo"), F.col("mrc_bb"), F.col("mrc_tv"))})
 
     @cached_property
     def account_firsts(self) -> DataFrame:

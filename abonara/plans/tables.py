@@ -23,7 +23,7 @@ from abonara.plans.fixtures import Inputs
 
 GRAIN = "quarter"
 PAIR_COLUMNS = ["num_rgus", "mix", "age", "age_fix", "bill_amt", "vo_nm", "tv_nm", "bb_nm", "tenure",
-                "start_dt", "max_inst_dt", "tech"]
+                "start_dt", "max_inst_dt", "tech", "bundle", "charge", "phone"]
 
 
 def pairs(inputs: Inputs) -> DataFrame:

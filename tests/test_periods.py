@@ -8,7 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from abonara.functions.calendar import period_of
-from abonara.functions.profile import product_mix, rgu_count, rgu_flags, tech_flag
+from abonara.functions.profile import bundle_name, product_mix, rgu_count, rgu_flags, tech_flag
 from abonara.operators import converge as C
 from abonara.operators import partials as A
 from abonara.operators import repair as R
@@ -45,7 +45,9 @@ def history(accounts=60, seed=4):
 @pytest.fixture(scope="module")
 def daily(spark):
     snap = spark.createDataFrame(history(), SNAP)
-    return rgu_flags(snap).withColumns({"num_rgus": rgu_count(), "mix": product_mix(), "tech": tech_flag("PROMO", "MEDIUM")}).cache()
+    return rgu_flags(snap).withColumns({
+        "num_rgus": rgu_count(), "mix": product_mix(), "tech": tech_flag("PROMO", "MEDIUM"), "bundle": bundle_name(),
+        "charge": F.col("bill_amt") * 2, "phone": F.concat(F.lit("2"), "account")}).cache()
 
 
 def full_run(days, upto):
