@@ -37,6 +37,8 @@ HEAD = 200_000
 BIGRAM_SHARE = 0.35
 FOLDS = 10
 FLUSH_TOKENS = 1_500_000
+#: Level of a count of 2^62; a full filter would answer yes for ever.
+TOP_LEVEL = 125
 _END = np.uint64(0x5851F42D4C957F2D)
 _BEGIN = np.uint64(0x14057B7EF767814F)
 _LEFT = np.uint64(0x2545F4914F6CDD1D)
@@ -83,7 +85,7 @@ class Filter(NamedTuple):
         bucket = _bucket(hashes, self.buckets)
         key = hashes & np.uint64(0xFFFFFFFF)
         step = 0
-        while len(alive):
+        while len(alive) and step < TOP_LEVEL:
             step += 1
             found = np.ones(len(alive), bool)
             for place in _places(key[alive], step, self.bits.shape[1] * 8):

@@ -19,6 +19,8 @@ are kept by ``copies`` and ignored by ``rates``.
 
 from __future__ import annotations
 
+from uuid import uuid4
+
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, Window as W
@@ -143,9 +145,10 @@ def mixed(docs: DataFrame, *, id_col: str = "doc_id", row_col: str | None = None
 
     ``row_col``: a column that names each row; without it the rows are numbered here.
     """
-    rows = docs if row_col else numbered(docs, "mix_number")
-    row_col = row_col or "mix_number"
+    number, row, many, copy = (f"_{uuid4().hex}" for _ in range(4))  # names that no table has
+    rows = docs if row_col else numbered(docs, number)
+    row_col = row_col or number
     chosen = copies(rows, id_col=id_col, keep=(row_col,), **options).where("copies > 0").select(
-        F.col(row_col).alias("mix_row"), F.col("copies").alias("mix_copies"))
-    rows = rows.join(chosen, rows[row_col] == chosen["mix_row"])
-    return rows.withColumn("mix_copy", F.explode(F.sequence(F.lit(1), F.col("mix_copies")))).select(docs.columns)
+        F.col(row_col).alias(row), F.col("copies").alias(many))
+    rows = rows.join(chosen, F.col(row_col) == F.col(row))
+    return rows.withColumn(copy, F.explode(F.sequence(F.lit(1), F.col(many)))).select(docs.columns)

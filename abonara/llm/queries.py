@@ -25,7 +25,7 @@ def _spans_sql(kind: str, pattern: str, keep: str) -> str:
 
 SECRETS_SQL = f"""
 WITH d AS (SELECT doc_id, coalesce(text, '') AS body FROM documents),
-found AS ({_spans_sql("assign", secrets.RULES[0].pattern.replace("'", "''"), "length(regexp_extract(m, '[A-Za-z0-9+/_.=-]+$')) >= 12")}
+found AS ({_spans_sql("assign", secrets.RULES[0].pattern.replace("'", "''"), "length(regexp_extract(m, '" + secrets.RULES[0].pattern.replace("'", "''") + "', 2)) >= 12")}
   UNION ALL {_spans_sql("access", "AKIA[A-Z0-9]+", "length(m) >= 18")}
   UNION ALL {_spans_sql("hex", "[0-9a-f]+", "length(m) >= 16")}),
 per AS (SELECT doc_id, count(*) FILTER (kind = 'assign') AS n_assign, count(*) FILTER (kind = 'access') AS n_access,

@@ -3,19 +3,19 @@
 Every version of every document is content-addressed: its blob is the SHA-256 of its text. The
 ledger names the (blob, rule, rule version) pairs that have been scanned. Only unseen pairs are
 scanned, once for all copies and versions; stored and new findings are joined back to every path
-that holds the blob. The scan of one blob is a chain of expressions: matches are extracted, the pieces between
-them are split off, and running lengths give code-point spans.
+that holds the blob. Matches of a blob are extracted and the pieces between them split off; a running
+sum of their lengths gives code-point spans.
 
 Nulls and empty texts are the empty blob and have no findings. A null id keeps its row. Repeated
-documents share one scan and keep a row each. Empty tables give empty results; other columns of
-the documents are not read.
+documents share one scan and keep a row each. Very long texts take time in proportion to their
+length and findings. Empty tables give empty results; other columns of the documents are not read.
 """
 
 from __future__ import annotations
 
 from typing import NamedTuple
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
@@ -47,23 +47,30 @@ def blob_of(text: Column) -> Column:
     return F.sha2(F.coalesce(text.cast("string"), F.lit("")), 256)
 
 
-def spans_of(text: Column, rule: Rule) -> Column:
-    """Spans (start, end) in code points of the findings of one rule."""
+def lengths_of(text: Column, rule: Rule) -> Column:
+    """Per match, in order: code points of the text before it since the last match, of the match, and whether it is a finding.
+
+    Matches and the pieces between them are taken once per text and walked side by side.
+    """
     found = F.regexp_extract_all(text, F.lit(rule.pattern), F.lit(0))
     pieces = F.split(text, rule.pattern, -1)
-    # after k matches: (sum of pieces 0..k) + (sum of matches 0..k-1) is where match k begins
-    starts = F.aggregate(
-        F.sequence(F.lit(1), F.size(found)),
-        F.struct(F.lit(0).alias("at"), F.array().cast("array<struct<start:int,end:int>>").alias("spans")),
-        lambda acc, k: F.struct(
-            (acc["at"] + F.length(F.element_at(pieces, k)) + F.length(F.element_at(found, k))).alias("at"),
-            F.when(_least(F.element_at(found, k), rule), F.concat(acc["spans"], F.array(F.struct(
-                (acc["at"] + F.length(F.element_at(pieces, k))).alias("start"),
-                (acc["at"] + F.length(F.element_at(pieces, k)) + F.length(F.element_at(found, k))).alias("end")))))
-            .otherwise(acc["spans"]).alias("spans")),
-        lambda acc: acc["spans"])
-    none = F.array().cast("array<struct<start:int,end:int>>")
-    return F.when(F.size(found) > 0, starts).otherwise(none)
+    # There is one piece more than matches; its match is null.
+    return F.zip_with(pieces, found, lambda piece, match: F.struct(
+        F.length(piece).alias("gap"), F.length(match).alias("size"), _least(match, rule).alias("kept")))
+
+
+def with_spans(found: DataFrame) -> DataFrame:
+    """(blob, rule, rule_version, lengths) to spans (start, end): a running sum along the matches of a text.
+
+    The time is in proportion to the matches, however many a text has. Rows of one blob are already
+    together, so nothing is shuffled again.
+    """
+    rows = found.select("blob", "rule", "rule_version", F.posexplode_outer("lengths").alias("place", "m"))
+    along = Window.partitionBy("blob", "rule").orderBy("place").rowsBetween(Window.unboundedPreceding, 0)
+    end = F.sum(F.col("m.gap") + F.col("m.size")).over(along)
+    placed = rows.select("blob", "rule", "rule_version", "m.kept", (end - F.col("m.size")).cast("int").alias("start"), end.cast("int").alias("end"))
+    span = F.when(F.col("kept"), F.struct("start", "end"))
+    return placed.groupBy("blob", "rule", "rule_version").agg(F.sort_array(F.collect_list(span)).alias("spans"))
 
 
 def _least(match: Column, rule: Rule) -> Column:
@@ -84,7 +91,7 @@ def scan(paths: DataFrame, ledger: DataFrame | None = None, rules: tuple[Rule, .
     is not read at all; else each rule keeps the blobs that it has not seen. The result is what
     is to be added to the ledger and to the findings.
     """
-    one = paths.groupBy("blob").agg(F.min("doc_id").alias("first_id"), F.count("doc_id").alias("ids"))
+    one = paths.groupBy("blob").agg(F.min("doc_id").alias("first_id"))
     pair = F.array(*[F.struct(F.lit(r.kind).alias("rule"), F.lit(r.version).alias("rule_version")) for r in rules])
     todo = one.withColumn("todo", pair)
     if ledger is not None:
@@ -96,12 +103,12 @@ def scan(paths: DataFrame, ledger: DataFrame | None = None, rules: tuple[Rule, .
     unread = paths.join(todo.hint("shuffle_hash"), (F.col("blob") == F.col("b")) & F.col("doc_id").eqNullSafe(F.col("first_id")))
     each = F.array(*[
         F.struct(F.lit(r.kind).alias("rule"), F.lit(r.version).alias("rule_version"),
-                 F.when(F.array_contains(F.col("todo.rule"), r.kind), spans_of(F.col("body"), r)).alias("spans"))
+                 F.when(F.array_contains(F.col("todo.rule"), r.kind), lengths_of(F.col("body"), r)).alias("lengths"))
         for r in rules])
-    found = unread.select("blob", F.filter(each, lambda x: x["spans"].isNotNull()).alias("found"))
+    found = unread.select("blob", F.filter(each, lambda x: x["lengths"].isNotNull()).alias("found"))
     # Rows with the same id and the same text are the same scan.
     found = found.groupBy("blob").agg(F.first("found").alias("found"))
-    return found.select("blob", F.inline("found"))
+    return with_spans(found.select("blob", F.inline("found")))
 
 
 def ledger_of(findings: DataFrame) -> DataFrame:
