@@ -5,7 +5,8 @@ decisions take effect: rejected documents are gone, one document of each near-du
 stays, contaminated documents go, documents are repeated or left out by the mix, and the rows of
 the mix are dealt into shards with gapless slots. Ids may be null or repeated, so the first stage
 numbers the rows in the column ``ROW``, which the stages hand on; every decision is joined back on
-it and holds for its own row only. ``ORACLE_SQL`` is None: a trained model, hashing
+it and holds for its own row only. Null and empty texts have no words, so the first stage drops them;
+an empty table gives no rows; other columns are carried, whatever their names. ``ORACLE_SQL`` is None: a trained model, hashing
 and rounding decide, which SQL does not express; tests hold the stages against plain versions.
 """
 
@@ -19,7 +20,8 @@ from abonara.llm.common import numbered, written
 from abonara.llm.queries import table
 
 ORACLE_SQL = None
-ROW = "pipeline_row"
+#: No table of documents has a column of this name, so none is taken for a row number.
+ROW = "_row_9f4c1e7ab2d84f60a3c5"
 
 
 def _rows(docs: DataFrame) -> DataFrame:
