@@ -363,3 +363,36 @@ def test_mix_keeps_columns_with_any_name(spark):
 def test_full_filter_ends():
     full = lm.Filter(np.full((2, 64), 255, np.uint8))
     assert (full.level(np.arange(5, dtype=np.uint64)) == lm.TOP_LEVEL).all()
+
+
+def bounded_tilt(size, docs, target, cap):
+    """The multiplier by plain bisection, for comparison."""
+    x = size / ((size * docs).sum() / docs[size > 0].sum())
+    low, high = -1e4, 1e4
+    for _ in range(200):
+        m = (low + high) / 2
+        taken = (docs * size * np.minimum(cap, np.exp(np.minimum(m * x, 50)))).sum()
+        low, high = (m, high) if taken < target else (low, m)
+    return np.minimum(cap, np.exp(np.minimum(m * x, 50)))
+
+
+def test_rates_match_bisection(spark):
+    rng = random.Random(4)
+    rows = [(s, rng.choice([0, 1, 2, 5, 40, 300, 5000])) for s in ("a", "b", "c", None) for _ in range({"a": 300, "b": 20, "c": 90, None: 5}[s])]
+    rows += [("only empty", 0)] * 3
+    sizes = spark.createDataFrame(rows, "source string, size bigint")
+    goal = mixing.targets(sizes)
+    found = collections.defaultdict(list)
+    for r in mixing.rates(sizes, goal).collect():
+        found[r.source].append((r["size"], r.n, r.target, r.rate))
+    assert set(found) == {"a", "b", "c", None, "only empty"}
+    for source, group in found.items():
+        size, n, target, rate = (np.array(x, float) for x in zip(*group))
+        total = (size * n).sum()
+        if not total:
+            assert (rate == 1).all()
+            continue
+        assert abs((n * size * rate).sum() - target[0]) <= 1e-6 * target[0]
+        if target[0] < 2.999 * total:
+            want = bounded_tilt(size, n, target[0], 3.0)
+            assert np.allclose(rate[size > 0], want[size > 0], rtol=1e-5)
