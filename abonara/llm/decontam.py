@@ -5,12 +5,16 @@ characters. A window is ``window`` consecutive words of an item (a shorter item
 The automaton reads each normalised text once; a match is mapped to words and from there to
 bytes of the original text.
 
-Broadcast bound: patterns are cut into blocks of ``block_bytes``; each block is an automaton of
-its own and one more step of the same row-wise chain, so a benchmark of any size is matched whole.
+Broadcast bound: patterns are cut into blocks of ``block_bytes``, each an automaton of its own. An
+automaton has at most a node per byte of its patterns, about 45 bytes each, so a worker holds less
+than 200 MB of it. A benchmark of one block is matched in one pass without a shuffle. With more
+blocks the texts are numbered, every block scans them in tasks of its own, which return only rows
+with hits, and the hits of a row are put together; a benchmark of any size is matched whole.
 
 Nulls and empty texts have no words and no hits; a null ``item_id`` takes part but has no name to
 list. Repeated items count once per id, repeated documents are judged one by one, an empty table
-gives an empty result, and other columns of the documents are not read.
+gives an empty result, and other columns of the documents are not read. A very long text is read
+through in one go and is no unit of memory beyond itself.
 """
 
 from __future__ import annotations
@@ -23,10 +27,10 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from abonara.llm.common import NOT_ALNUM, texts, word_spans
+from abonara.llm.common import NOT_ALNUM, texts, word_spans, written
 
 WINDOW = 13
-BLOCK_BYTES = 32_000_000
+BLOCK_BYTES = 4_000_000
 _TABLE = bytes(32 if NOT_ALNUM[b | 32 if 65 <= b <= 90 else b] else (b | 32 if 65 <= b <= 90 else b)
                for b in range(256))
 
@@ -87,6 +91,7 @@ def _step(handle, last: bool):
                 hits = [(hits[k], hits[k + 1]) for k in range(0, len(hits), 2)] + ranges
                 names = names | set(items)
                 if not last:
+                    out["keep"].append(bool(hits))
                     out["hits"].append([x for pair in hits for x in pair])
                     out["items"].append(list(names))
                     continue
@@ -116,12 +121,26 @@ def _step(handle, last: bool):
                          ("n_items", pa.int64()), ("items", pa.list_(pa.string())), ("items_sha256", pa.string()),
                          ("spans", pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())])))]))
             else:
-                yield pa.RecordBatch.from_arrays(
-                    [batch.column("doc_id"), batch.column("body"), pa.array(out["hits"], pa.list_(pa.int64())),
-                     pa.array(out["items"], pa.list_(pa.string()))], names=["doc_id", "body", "hits", "items"])
+                found = pa.RecordBatch.from_arrays(
+                    [batch.column("row"), pa.array(out["hits"], pa.list_(pa.int64())), pa.array(out["items"], pa.list_(pa.string()))],
+                    names=["row", "hits", "items"])
+                yield found.filter(pa.array(out["keep"], pa.bool_()))
     return run
 
 
+def _hits_of_blocks(rows: DataFrame, handles: list) -> DataFrame:
+    """``rows`` (doc_id, body) with the hits of all blocks. A task scans for one block only."""
+    numbered = written(rows.withColumn("row", F.monotonically_increasing_id()), "decontam_texts")
+    none = [F.array().cast("array<bigint>").alias("hits"), F.array().cast("array<string>").alias("items")]
+    found = None
+    for handle in handles:
+        one = numbered.select("row", "body", *none).mapInArrow(_step(handle, False), "row long, hits array<bigint>, items array<string>")
+        found = one if found is None else found.unionByName(one)
+    of_row = found.groupBy("row").agg(F.flatten(F.collect_list("hits")).alias("hits"), F.flatten(F.collect_list("items")).alias("items"))
+    return numbered.join(of_row, "row", "left").select(
+        "doc_id", "body", *[F.coalesce(c, F.array().cast(f"array<{t}>")).alias(c) for c, t in (("hits", "bigint"), ("items", "string"))])
+
+
 def contamination(docs: DataFrame, benchmark: DataFrame, *, id_col: str = "doc_id", text_col: str = "text",
                   item_col: str = "item_id", item_text: str = "text", window: int = WINDOW,
                   share: tuple[int, int] = (1, 20), block_bytes: int = BLOCK_BYTES) -> DataFrame:
@@ -131,13 +150,14 @@ def contamination(docs: DataFrame, benchmark: DataFrame, *, id_col: str = "doc_i
     """
     context = docs.sparkSession.sparkContext
     handles = [context.broadcast(b) for b in patterns(benchmark, item_col, item_text, window, block_bytes)] or [None]
-    rows = texts(docs, id_col, text_col).select(
-        "doc_id", "body", F.array().cast("array<bigint>").alias("hits"), F.array().cast("array<string>").alias("items"))
+    rows = texts(docs, id_col, text_col)
     kind = dict(rows.dtypes)["doc_id"]
-    for handle in handles[:-1]:
-        rows = rows.mapInArrow(_step(handle, False), f"doc_id {kind}, body binary, hits array<bigint>, items array<string>")
+    if len(handles) > 1:
+        rows, handles = _hits_of_blocks(rows, handles), [None]
+    else:
+        rows = rows.select("doc_id", "body", F.array().cast("array<bigint>").alias("hits"), F.array().cast("array<string>").alias("items"))
     out = rows.mapInArrow(
-        _step(handles[-1], True),
+        _step(handles[0], True),
         f"doc_id {kind}, n_words bigint, n_hit bigint, n_items bigint, items array<string>, items_sha256 string, "
         "spans array<struct<start: bigint, end: bigint>>")
     above, below = share

@@ -14,7 +14,7 @@ token is dropped. Tokens are identified by 64-bit hashes.
 
 Nulls and empty texts are one end token. A null id counts as training. Repeated documents count and
 score one by one. With no training text every count is 0. Empty tables give empty results;
-other columns are not read.
+other columns are not read. Very long texts are counted and scored in chunks of their own.
 """
 
 from __future__ import annotations

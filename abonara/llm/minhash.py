@@ -19,7 +19,8 @@ Sets hold 64-bit hashes of shingles. A document with no words has the empty set
 nothing; one with fewer words than a shingle has its whole sequence as one shingle. A document
 without id cannot be named as a partner: it is its own component, null, and is kept. Repeated rows
 are exact copies and share a component (each is kept if it carries the smallest id). An empty table
-gives an empty result; other columns are not read.
+gives an empty result; other columns are not read. A very long text is hashed in its own chunk, with
+memory in proportion to that text.
 """
 
 from __future__ import annotations

@@ -10,7 +10,8 @@ A document is rejected by the model when its probability of being low quality is
 Nulls and empty texts have no words (they fail the word rule); labels other than 0 and 1, without
 a document or repeated with different values are dropped from training; repeated documents are
 scored one by one; with fewer than ``MIN_CLASS`` rows of either class there is no verdict and the
-fixed rules decide alone; an empty table gives an empty result; other columns are not read.
+fixed rules decide alone; an empty table gives an empty result; other columns are not read. A very long
+text is scored in a chunk of its own, with memory in proportion to it.
 """
 
 from __future__ import annotations

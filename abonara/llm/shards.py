@@ -9,7 +9,8 @@ shard starts at its share of all bytes, to within one document.
 
 Law ``bytes``. Nulls: a null text has no bytes, a null id sorts first. Rows equal in id and text
 are dealt by a salt, so that no range is indivisible. Ties in the order are rows that cannot be
-told apart. An empty table gives an empty result; other columns are not read.
+told apart. An empty table gives an empty result; other columns are not read. Equal texts stay together except
+where a shard ends inside a group of them. A very long text is one row of its size.
 """
 
 from __future__ import annotations

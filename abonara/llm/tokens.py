@@ -12,7 +12,8 @@ of a byte-pair file are therefore those of its best-scoring segmentation, not of
 
 Nulls, empty and blank texts have no tokens. Repeated documents are counted one by one, an empty
 table gives an empty result, other columns are not read. The memory of distinct pre-tokens is
-dropped when it reaches ``CACHE`` entries and filled anew, so counts do not depend on it.
+dropped when it reaches ``CACHE`` entries and filled anew, so counts do not depend on it. A very long
+text is many pre-tokens.
 """
 
 from __future__ import annotations

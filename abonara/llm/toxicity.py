@@ -8,15 +8,16 @@ from the base rate and is at least ``LIFT`` times it or at most the same part of
 at most ``max_examples`` labelled vectors (the documents with the smallest hash of their id); equal
 vectors are one entry with counts of both labels. A text's
 neighbours are its ``k`` nearest entries by cosine; postings are cut into blocks with their highest
-weight, and blocks whose bound is below the k-th similarity are not read, which leaves the result
-exact. Votes weighted by similarity, with a prior at the base rate, make the score; the vote becomes a
+weight, and blocks whose bound is below the k-th similarity are left out of the sums, which leaves the
+result exact. Votes weighted by similarity, with a prior at the base rate, make the score; the vote becomes a
 probability by a logistic curve fitted on every fourth training row.
 
 Labels of rows with crc32(id) mod 5 = 0 are never read. Broadcast size is bounded by the two
 limits. Nulls, empty texts and texts without any term have no neighbours and score the prior of
 such training texts. Labels other than 0 and 1 or contradicting each other are dropped. Without
 both labels in training every score is the base rate (0 without labels). Repeated documents are
-scored one by one; empty tables give empty results; other columns are not read.
+scored one by one; empty tables give empty results; other columns are not read. A very long text is one
+vector, whatever its length.
 """
 
 from __future__ import annotations

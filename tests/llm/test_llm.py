@@ -396,3 +396,36 @@ def test_rates_match_bisection(spark):
         if target[0] < 2.999 * total:
             want = bounded_tilt(size, n, target[0], 3.0)
             assert np.allclose(rate[size > 0], want[size > 0], rtol=1e-5)
+
+
+def test_shards_match_a_plain_cut(spark, docs, rows):
+    """Order by the hashes of text and id, then cut where half of a document passes a share of all bytes."""
+    from pyspark.sql import functions as F
+    single = docs.where("doc_id is not null").dropDuplicates(["doc_id"])
+    keyed = single.select("doc_id", "text", F.xxhash64(F.coalesce("text", F.lit(""))).alias("h"), F.xxhash64("doc_id").alias("k")).collect()
+    n, before, want, slots = 7, 0, {}, collections.Counter()
+    total = sum(len((r.text or "").encode()) + 16 for r in keyed)
+    for r in sorted(keyed, key=lambda r: (r.h, r.k)):
+        size = len((r.text or "").encode()) + 16
+        shard = min(n - 1, int((before + size / 2) * n // total))
+        want[r.doc_id] = (size, zlib.crc32((r.text or "").encode()), shard, slots[shard])
+        slots[shard] += 1
+        before += size
+    got = {r.doc_id: (r["size"], r.text_crc32, r.shard, r.slot) for r in shards.shards(single, n).collect()}
+    assert got == want
+
+
+def test_quality_model_on_rows_it_has_not_seen(spark):
+    rng = random.Random(11)
+    good, bad = ["river", "council", "teacher", "winter", "garden", "letter"], ["buy", "cheap", "click", "winner", "casino", "free"]
+    made = [(k, " ".join(rng.choice(good if k % 2 else bad) for _ in range(rng.randint(25, 60))), k % 2) for k in range(400)]
+    table = spark.createDataFrame([(k, t) for k, t, _ in made] + [(1000, "too short"), (1001, None)], "doc_id int, text string")
+    labels = spark.createDataFrame([(k, y) for k, _, y in made if k < 300], "doc_id int, quality int")
+    got = {r.doc_id: r for r in quality.quality(table, labels).collect()}
+    unseen = [(got[k], y) for k, _, y in made if k >= 300]
+    assert sum(r.kept == bool(y) for r, y in unseen) >= 0.95 * len(unseen)
+    for r in got.values():
+        failed = r.n_words < 20 or 100 * r.n_repeat_words > 30 * r.n_words
+        assert r.base_failed == failed and r.kept == (not failed and r.p_low < 0.5)
+        assert 0 <= r.p_low <= 1
+    assert not got[1000].kept and not got[1001].kept
