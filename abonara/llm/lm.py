@@ -1,42 +1,46 @@
 """Language-model scores from a log-frequency Bloom filter of quantised n-gram counts.
 
-Counting covers all training texts: tasks send sorted 32-bit fingerprints of their n-grams to
-buckets (more buckets as the session has more shuffle partitions), where counts are summed. Each
-bucket quantises its counts to half octaves and writes an n-gram of level q as q entries, 1 to q,
-into its own segment of the filter, so the filter is built in parts and has a fixed size, the
-broadcast bound: ``UNIGRAM_BYTES`` + ``BIGRAM_BYTES``. A lookup probes levels upwards until one is
-missing; false positives can only raise a count (``Filter.full`` gives the share of set bits, whose
-power ``PROBES`` is their chance). Bigrams below ``MIN_BIGRAM`` occurrences are not stored. Probabilities interpolate the bigram with the unigram.
-
-The exact base score needs exact token counts. The most frequent ``HEAD`` tokens (a fixed bound)
-are broadcast; every other token of a text goes through a join with the whole count table, so no
-token is dropped. Tokens are identified by 64-bit hashes.
+The filter is dealt over buckets of n-gram hashes and grows with the corpus: each bucket counts its
+training n-grams exactly, quantises the counts to half octaves, and writes an n-gram of level q as q
+entries, 1 to q, into a segment of ``BITS`` bits an entry. A lookup probes levels upwards until one is
+missing, so false positives, about one in a hundred as the share of set bits does not change with the
+input, can only raise a count. Every n-gram is stored, also those seen once.
+
+A filter that grows cannot be sent whole to every worker, so probes travel to the segments instead:
+texts are dealt into chunks of about ``CHUNK`` bytes, a chunk sends each of its distinct n-grams once,
+with its training count, and gets back the level that the segment answers. Chunks are written once,
+bucketed, and are not moved again. Probabilities interpolate the bigram with the unigram, both from
+the answered levels. The base score needs exact token counts, which come back by the same way.
+
+Tokens are identified by 64-bit hashes, bigrams by 32 bits inside their bucket; as buckets follow the
+size of the input, about one bigram in a thousand shares its number with another at any size.
 
 Nulls and empty texts are one end token. A null id counts as training. Repeated documents count and
 score one by one. With no training text every count is 0. Empty tables give empty results;
-other columns are not read. Very long texts are counted and scored in chunks of their own.
+other columns are not read. A very long text is a chunk of its own.
 """
 
 from __future__ import annotations
 
 from typing import NamedTuple
+from uuid import uuid4
 
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from abonara.llm.common import LOWER, chunks, flat, mix, row_starts, texts, word_hashes, word_spans, written
 from abonara.llm.toxicity import held_out
 
-UNIGRAM_BYTES = 8 << 20
-BIGRAM_BYTES = 32 << 20
-MIN_BIGRAM = 2
 PROBES = 3
-HEAD = 200_000
+#: Bits of a segment per entry: about a fifth of them are set.
+BITS = 12
 BIGRAM_SHARE = 0.35
 FOLDS = 10
-FLUSH_TOKENS = 1_500_000
+#: Bytes of text in a chunk, of a bucket of chunks, and per bucket of n-grams.
+CHUNK, GROUP, BUCKET = 8 << 20, 32 << 20, 8 << 20
 #: Level of a count of 2^62; a full filter would answer yes for ever.
 TOP_LEVEL = 125
 _END = np.uint64(0x5851F42D4C957F2D)
@@ -66,30 +70,24 @@ def bigrams(hashes: np.ndarray, at: np.ndarray) -> np.ndarray:
 
 
 class Filter(NamedTuple):
-    """A Bloom filter in segments, one per bucket: bits of shape (buckets, bytes of a segment)."""
+    """One segment of the Bloom filter."""
 
     bits: np.ndarray
 
-    @property
-    def buckets(self) -> int:
-        return self.bits.shape[0]
-
     @property
     def full(self) -> float:
         return float(np.unpackbits(self.bits).mean())
 
-    def level(self, hashes: np.ndarray) -> np.ndarray:
+    def level(self, keys: np.ndarray) -> np.ndarray:
         """Highest level up to which every level is present."""
-        level = np.zeros(len(hashes), np.int64)
-        alive = np.arange(len(hashes))
-        bucket = _bucket(hashes, self.buckets)
-        key = hashes & np.uint64(0xFFFFFFFF)
+        level = np.zeros(len(keys), np.int64)
+        alive = np.arange(len(keys))
         step = 0
         while len(alive) and step < TOP_LEVEL:
             step += 1
             found = np.ones(len(alive), bool)
-            for place in _places(key[alive], step, self.bits.shape[1] * 8):
-                found &= (self.bits[bucket[alive], place >> 3] >> (place & 7).astype(np.uint8)) & 1 == 1
+            for place in _places(keys[alive], step, len(self.bits) * 8):
+                found &= (self.bits[place >> 3] >> (place & 7).astype(np.uint8)) & 1 == 1
             alive = alive[found]
             level[alive] = step
         return level
@@ -116,158 +114,198 @@ def restored(level: np.ndarray) -> np.ndarray:
     return np.where(level > 0, np.maximum(2.0 ** ((level - 1) / 2), (2.0 ** ((level - 1) / 2) + 2.0 ** (level / 2) - 1) / 2), 0.0)
 
 
-def segment(keys: np.ndarray, counts: np.ndarray, size: int) -> np.ndarray:
-    bits = np.zeros(size, np.uint8)
+def segment(keys: np.ndarray, counts: np.ndarray) -> np.ndarray:
+    """Bits of all entries of the keys; the size follows the number of entries."""
     level = quantised(counts)
+    bits = np.zeros(max(8, -(-int(level.sum()) * BITS // 8)), np.uint8)
     for step in range(1, int(level.max(initial=0)) + 1):
-        for place in _places(keys[level >= step], step, size * 8):
+        for place in _places(keys[level >= step], step, len(bits) * 8):
             np.bitwise_or.at(bits, place >> 3, np.left_shift(1, place & 7).astype(np.uint8))
     return bits
 
 
-def _partial_counts(buckets: int):
-    names = ["size", "bucket", "keys", "counts"]
+def _short(keys: np.ndarray) -> np.ndarray:
+    return keys.astype(np.uint64) & np.uint64(0xFFFFFFFF)
 
-    def rows(parts):
-        out = {n: [] for n in names}
-        for size, hashes in zip((1, 2), map(np.concatenate, zip(*parts))):
-            keys, counts = np.unique(hashes, return_counts=True)
-            bucket = _bucket(keys, buckets)
-            order = np.argsort(bucket, kind="stable")
-            cut = np.searchsorted(bucket[order], np.arange(buckets + 1))
-            for b in np.flatnonzero(np.diff(cut)):
-                pick = order[cut[b]:cut[b + 1]]
-                out["size"].append(size)
-                out["bucket"].append(int(b))
-                out["keys"].append((keys[pick] if size == 1 else keys[pick].astype(np.uint32)).tobytes())
-                out["counts"].append(counts[pick].astype(np.uint32).tobytes())
-        return pa.RecordBatch.from_pydict(out, schema=pa.schema(
-            [("size", pa.int32()), ("bucket", pa.int32()), ("keys", pa.binary()), ("counts", pa.binary())]))
 
+def _dealt(size: int):
+    """Rows with the number of their chunk: a task's rows in order, cut at about ``size`` bytes."""
     def run(batches):
-        parts, many = [], 0
+        task = TaskContext.get().partitionId()
+        chunk, held = 0, 0
         for batch in batches:
-            data, off = flat(batch.column("body"))
-            for first, last in chunks(off):
-                hashes, at = tokens(data[off[first]:off[last]], off[first:last + 1] - off[first])
-                parts.append((hashes, bigrams(hashes, at)[0]))
-                many += len(hashes)
-                if many >= FLUSH_TOKENS:
-                    yield rows(parts)
-                    parts, many = [], 0
-        if parts:
-            yield rows(parts)
+            _, off = flat(batch.column("body"))
+            numbers = np.zeros(len(batch), np.int64)
+            for row, many in enumerate(np.diff(off)):
+                if held and held + many > size:
+                    chunk, held = chunk + 1, 0
+                held += int(many)
+                numbers[row] = (task << 32) + chunk
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(numbers)], names=[*batch.schema.names, "chunk"])
     return run
 
 
-def _merge(sizes: dict[int, int]):
+class Grams(NamedTuple):
+    """N-grams of a chunk: distinct ones in order of their buckets, and which of them each token has."""
+
+    keys: np.ndarray
+    cut: np.ndarray
+    place: np.ndarray
+
+
+def _distinct(hashes: np.ndarray, buckets: int) -> Grams:
+    keys, place = np.unique(hashes, return_inverse=True)
+    bucket = _bucket(keys, buckets)
+    order = np.argsort(bucket, kind="stable")
+    back = np.empty(len(order), np.int64)
+    back[order] = np.arange(len(order))
+    return Grams(keys[order], np.searchsorted(bucket[order], np.arange(buckets + 1)), back[place])
+
+
+def _chunk_tokens(body: pa.Array):
+    """(hashes, row starts, pairs, tokens before) of the rows of a chunk."""
+    data, off = flat(body)
+    parts, starts = [], [np.zeros(1, np.int64)]
+    for first, last in chunks(off):
+        hashes, at = tokens(data[off[first]:off[last]], off[first:last + 1] - off[first])
+        pairs, before = bigrams(hashes, at)
+        parts.append((hashes, pairs, before))
+        starts.append(at[1:] + starts[-1][-1])
+    hashes, pairs, before = map(np.concatenate, zip(*parts))
+    return hashes, np.concatenate(starts), pairs, before
+
+
+_SENT = "size int, bucket int, chunk long, keys binary, counts binary"
+
+
+def _send(buckets: int):
+    """Distinct n-grams of a chunk with their counts in its training texts, by bucket."""
     def run(table: pa.Table) -> pa.Table:
-        size, bucket = table.column("size")[0].as_py(), table.column("bucket")[0].as_py()
-        kind = np.uint64 if size == 1 else np.uint32
-        keys = np.concatenate([np.frombuffer(x, kind) for x in table.column("keys").to_pylist()])
-        counts = np.concatenate([np.frombuffer(x, np.uint32) for x in table.column("counts").to_pylist()])
-        keys, place = np.unique(keys, return_inverse=True)
-        counts = np.bincount(place, counts).astype(np.int64)
-        stored = counts >= (MIN_BIGRAM if size == 2 else 1)
-        short = keys[stored].astype(np.uint64) & np.uint64(0xFFFFFFFF)
-        bits = segment(short, counts[stored], sizes[size])
-        exact = size == 1
-        return pa.table({
-            "size": pa.array([size], pa.int32()), "bucket": pa.array([bucket], pa.int32()),
-            "bits": pa.array([bits.tobytes()], pa.binary()), "stored": pa.array([int(stored.sum())], pa.int64()),
-            "tokens": pa.array([keys.view(np.int64) if exact else np.zeros(0, np.int64)], pa.list_(pa.int64())),
-            "counts": pa.array([counts if exact else np.zeros(0, np.int64)], pa.list_(pa.int64()))})
+        hashes, at, pairs, _ = _chunk_tokens(table.column("body").combine_chunks())
+        train = np.repeat(~np.array(table.column("held_out").to_pylist(), bool), np.diff(at))
+        out = {n: [] for n in ("size", "bucket", "chunk", "keys", "counts")}
+        for size, grams in ((1, _distinct(hashes, buckets)), (2, _distinct(pairs, buckets))):
+            counts = np.bincount(grams.place[train], minlength=len(grams.keys)).astype(np.uint32)
+            keys = grams.keys if size == 1 else grams.keys.astype(np.uint32)
+            for b in np.flatnonzero(np.diff(grams.cut)):
+                pick = slice(grams.cut[b], grams.cut[b + 1])
+                out["size"].append(size)
+                out["bucket"].append(int(b))
+                out["chunk"].append(table.column("chunk")[0].as_py())
+                out["keys"].append(keys[pick].tobytes())
+                out["counts"].append(counts[pick].tobytes())
+        return pa.table(out, schema=pa.schema([("size", pa.int32()), ("bucket", pa.int32()), ("chunk", pa.int64()),
+                                               ("keys", pa.binary()), ("counts", pa.binary())]))
     return run
 
 
+_ANSWER = pa.schema([("chunk", pa.int64()), ("size", pa.int32()), ("bucket", pa.int32()), ("levels", pa.binary()), ("exact", pa.binary()),
+                     ("tokens", pa.int64()), ("kinds", pa.int64()), ("bits", pa.int64()), ("ones", pa.int64())])
+
+
+def _answer(table: pa.Table) -> pa.Table:
+    """One bucket: its segment of the filter, and for each chunk the levels of what it sent.
+
+    ``exact`` has the counts themselves, of single tokens only. The bucket's own sums stand on its first row.
+    """
+    size = table.column("size")[0].as_py()
+    sent = [np.frombuffer(x, np.uint64 if size == 1 else np.uint32) for x in table.column("keys").to_pylist()]
+    counts = np.concatenate([np.frombuffer(x, np.uint32) for x in table.column("counts").to_pylist()])
+    keys, place = np.unique(np.concatenate(sent), return_inverse=True)
+    total = np.bincount(place, counts, minlength=len(keys)).astype(np.int64)
+    seen = total > 0
+    part = Filter(segment(_short(keys[seen]), total[seen]))
+    levels = part.level(_short(keys)).astype(np.uint8)[place]
+    exact, ends = total[place], np.cumsum([0] + [len(x) for x in sent])
+    first = np.arange(len(sent)) == 0
+    sums = {"tokens": total.sum() if size == 1 else 0, "kinds": seen.sum() if size == 1 else 0,
+            "bits": 8 * len(part.bits), "ones": int(np.unpackbits(part.bits).sum())}
+    cuts = list(zip(ends[:-1], ends[1:]))
+    return pa.table({
+        "chunk": table.column("chunk"), "size": table.column("size"), "bucket": table.column("bucket"),
+        "levels": pa.array([levels[a:b].tobytes() for a, b in cuts], pa.binary()),
+        "exact": pa.array([exact[a:b].tobytes() if size == 1 else b"" for a, b in cuts], pa.binary()),
+        **{n: pa.array(np.where(first, v, 0), pa.int64()) for n, v in sums.items()}}, schema=_ANSWER)
+
+
 class Model(NamedTuple):
+    """Size of the training text: tokens and distinct tokens."""
+
     total: int
     kinds: int
-    unigrams: Filter
-    bigrams: Filter
-    head: np.ndarray
-    head_counts: np.ndarray
-
-
-def train(rows: DataFrame) -> tuple[Model, DataFrame]:
-    """The model of ``rows`` (doc_id, body) and the table (token, count) of all its tokens."""
-    spark = rows.sparkSession
-    buckets = max(64, 4 * int(spark.conf.get("spark.sql.shuffle.partitions")))
-    sizes = {1: -(-UNIGRAM_BYTES // buckets), 2: -(-BIGRAM_BYTES // buckets)}
-    partial = rows.select("body").mapInArrow(_partial_counts(buckets), "size int, bucket int, keys binary, counts binary")
-    merged = written(partial.groupBy("size", "bucket").applyInArrow(
-        _merge(sizes), "size int, bucket int, bits binary, stored bigint, tokens array<bigint>, counts array<bigint>"), "lm_counts")
-    bits = {size: np.zeros((buckets, n), np.uint8) for size, n in sizes.items()}
-    for row in merged.select("size", "bucket", "bits").toLocalIterator():
-        bits[row["size"]][row["bucket"]] = np.frombuffer(row["bits"], np.uint8)
-    counts = merged.where("size = 1").select(F.inline(F.arrays_zip(F.col("tokens").alias("token"), F.col("counts").alias("n"))))
-    counts = counts.toDF("token", "n")
-    total, kinds = counts.agg(F.coalesce(F.sum("n"), F.lit(0)), F.count("*")).first()
-    head = counts.orderBy(F.desc("n"), "token").limit(HEAD).toArrow()
-    keys = head.column("token").to_numpy().view(np.uint64)
-    order = np.argsort(keys)
-    return Model(total, kinds, Filter(bits[1]), Filter(bits[2]), keys[order], head.column("n").to_numpy()[order]), counts
 
 
 def _log_base(count, total: int, kinds: int):
     return np.log10((count + 0.1) / (total + 0.1 * (kinds + 1)))
 
 
-def log_probabilities(hashes: np.ndarray, at: np.ndarray, model: Model) -> np.ndarray:
-    """log10 of the smoothed probability of each token after the one before it, by filter probes only."""
-    pairs, before = bigrams(hashes, at)
-    kinds, place = np.unique(np.concatenate([hashes, before]), return_inverse=True)
-    single = restored(model.unigrams.level(kinds))[place]
-    count, context = single[:len(hashes)], single[len(hashes):]
+def log_probabilities(single: np.ndarray, begin: np.ndarray, context: np.ndarray, both: np.ndarray, at: np.ndarray,
+                      model: Model) -> np.ndarray:
+    """log10 of the smoothed probability of each token after the one before it.
+
+    ``single``, ``context`` and ``both`` are the restored counts of the token, of the one before and
+    of the two together; a row's first token follows the row's begin, as often as there are rows.
+    """
+    unigram = (single + 0.1) / (model.total + 0.1 * (model.kinds + 1))
+    context = context.copy()
     context[at[:-1]] = np.inf  # the begin is no token; the filter knows its pairs only
-    kinds, place = np.unique(pairs, return_inverse=True)
-    both = restored(model.bigrams.level(kinds))[place]
-    both = np.minimum(both, np.minimum(context, np.maximum(count, 0)))
-    unigram = (count + 0.1) / (model.total + 0.1 * (model.kinds + 1))
-    context[at[:-1]] = max(1.0, float(restored(model.unigrams.level(np.array([_END])))[0]))
+    both = np.minimum(both, np.minimum(context, single))
+    context[at[:-1]] = np.maximum(1.0, begin)
     share = np.where(context > 0, BIGRAM_SHARE, 0.0)
     return np.log10(share * np.minimum(1.0, both / np.maximum(context, 1)) + (1 - share) * unigram)
 
 
-def _scorer(handle):
-    def run(batches):
-        model = handle.value
-        for batch in batches:
-            data, off = flat(batch.column("body"))
-            parts = []
-            for first, last in chunks(off):
-                hashes, at = tokens(data[off[first]:off[last]], off[first:last + 1] - off[first])
-                sums = lambda x, at=at: np.add.reduceat(x, at[:-1])  # noqa: E731  every row has an end token
-                score = sums(log_probabilities(hashes, at, model))
-                place = np.minimum(np.searchsorted(model.head, hashes), max(0, len(model.head) - 1))
-                known = model.head[place] == hashes if len(model.head) else np.zeros(len(hashes), bool)
-                base = np.zeros(len(hashes))
-                base[known] = _log_base(model.head_counts[place[known]], model.total, model.kinds)
-                rare = np.split(hashes[~known].view(np.int64), np.cumsum(sums((~known).astype(np.int64)))[:-1])
-                parts.append((np.diff(at), sums(known.astype(np.int64)), sums(base), score, rare))
-            joined = [np.concatenate(x) for x in list(zip(*parts))[:4]] if parts else [np.zeros(0)] * 4
-            rare = [x for p in parts for x in p[4]]
-            yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id"), batch.column("row_id"), pa.array(joined[0], pa.int64()), pa.array(joined[1], pa.int64()),
-                 pa.array(joined[2], pa.float64()), pa.array(joined[3], pa.float64()), pa.array(rare, pa.list_(pa.int64()))],
-                names=["doc_id", "row_id", "n_tokens", "head_known", "head_score", "score", "rare"])
+def _score(buckets: int, model: Model):
+    def run(docs: pa.Table, answers: pa.Table) -> pa.Table:
+        hashes, at, pairs, _ = _chunk_tokens(docs.column("body").combine_chunks())
+        one, two = _distinct(hashes, buckets), _distinct(pairs, buckets)
+        levels, exact = {1: np.zeros(len(one.keys), np.uint8), 2: np.zeros(len(two.keys), np.uint8)}, np.zeros(len(one.keys), np.int64)
+        for size, bucket, found, counts in zip(*(answers.column(c).to_pylist() for c in ("size", "bucket", "levels", "exact"))):
+            cut = (one if size == 1 else two).cut
+            levels[size][cut[bucket]:cut[bucket + 1]] = np.frombuffer(found, np.uint8)
+            if size == 1:
+                exact[cut[bucket]:cut[bucket + 1]] = np.frombuffer(counts, np.int64)
+        single = restored(levels[1].astype(np.int64))[one.place]
+        both = restored(levels[2].astype(np.int64))[two.place]
+        context = np.empty_like(single)
+        context[1:] = single[:-1]
+        context[at[:-1]] = 0.0
+        # Every row ends with the end token, so its count is that of the rows.
+        score = log_probabilities(single, single[at[1:] - 1], context, both, at, model)
+        count = exact[one.place]
+        sums = lambda x: np.add.reduceat(x, at[:-1])
+        return pa.table({
+            "doc_id": docs.column("doc_id"), "held_out": docs.column("held_out"), "n_tokens": pa.array(np.diff(at), pa.int64()),
+            "n_known": pa.array(sums((count > 0).astype(np.int64)), pa.int64()),
+            "base_score": pa.array(sums(_log_base(count, model.total, model.kinds)), pa.float64()), "score": pa.array(sums(score), pa.float64())})
     return run
 
 
 def scores(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """Per row: doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score."""
-    rows = texts(docs, id_col, text_col).withColumn("row_id", F.monotonically_increasing_id())
-    model, counts = train(rows.where(~held_out(folds=FOLDS)))
-    handle = docs.sparkSession.sparkContext.broadcast(model)
+    """Per row: doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score, filter_fill.
+
+    ``filter_fill`` is the share of set bits over all segments.
+    """
+    spark = docs.sparkSession
+    rows = texts(docs, id_col, text_col).withColumn("held_out", held_out(folds=FOLDS))
     kind = dict(rows.dtypes)["doc_id"]
-    each = written(rows.mapInArrow(_scorer(handle), f"doc_id {kind}, row_id bigint, n_tokens bigint, head_known bigint, "
-                                                    "head_score double, score double, rare array<bigint>"), "lm_scores")
-    rare = each.select("row_id", F.explode("rare").alias("t")).join(counts, F.col("t") == F.col("token"), "left")
-    n = F.coalesce(F.col("n"), F.lit(0))
-    scale = float(model.total + 0.1 * (model.kinds + 1))
-    rare = rare.groupBy("row_id").agg(F.count("n").alias("rare_known"), F.sum(F.log10((n + F.lit(0.1)) / F.lit(scale))).alias("rare_score"))
-    out = each.drop("rare").join(rare.withColumnRenamed("row_id", "r"), F.col("row_id") == F.col("r"), "left")
-    return out.select(
-        "doc_id", held_out(folds=FOLDS).alias("held_out"), "n_tokens",
-        (F.col("head_known") + F.coalesce("rare_known", F.lit(0))).alias("n_known"), F.lit(int(model.total)).cast("long").alias("train_tokens"),
-        (F.col("head_score") + F.coalesce("rare_score", F.lit(0.0))).alias("base_score"), "score")
+    size = rows.agg(F.sum(F.octet_length("body"))).first()[0] or 0
+    buckets, groups = max(16, size // BUCKET), max(4, size // GROUP)
+    name = f"lm_texts_{uuid4().hex}"
+    (rows.mapInArrow(_dealt(CHUNK), f"doc_id {kind}, body binary, held_out boolean, chunk long").write
+     .bucketBy(groups, "chunk").option("compression", "zstd").format("parquet").saveAsTable(name))
+    try:
+        dealt = spark.table(name)
+        sent = dealt.groupBy("chunk").applyInArrow(_send(buckets), _SENT)
+        answers = written(sent.groupBy("size", "bucket").applyInArrow(
+            _answer, "chunk long, size int, bucket int, levels binary, exact binary, tokens long, kinds long, bits long, ones long"), "lm_answers")
+        sums = answers.agg(*[F.coalesce(F.sum(c), F.lit(0)).alias(c) for c in ("tokens", "kinds", "bits", "ones")]).first()
+        model = Model(sums["tokens"], sums["kinds"])
+        scored = dealt.groupBy("chunk").cogroup(answers.groupBy("chunk")).applyInArrow(
+            _score(buckets, model), f"doc_id {kind}, held_out boolean, n_tokens long, n_known long, base_score double, score double")
+        # The scores are thin; with them written the texts are not needed any more.
+        out = written(scored, "lm_scores")
+    finally:
+        spark.sql(f"DROP TABLE IF EXISTS {name}")
+    return out.select("doc_id", "held_out", "n_tokens", "n_known", F.lit(int(model.total)).cast("long").alias("train_tokens"),
+                      "base_score", "score", F.lit(sums["ones"] / max(1, sums["bits"])).alias("filter_fill"))
