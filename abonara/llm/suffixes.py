@@ -12,11 +12,12 @@ repeated windows. Three passes refine the order, and whatever is alone in its gr
    extents; one block stands for all those of equal extent.
 
 So the work is sorted out run by run: no pairs are built, groups of copies are counted with
-map-side partial sums, and each pass sees only what the pass before could not separate. Equality
-is by 64-bit hashes of bytes.
+map-side partial sums, and each pass sees only what the pass before could not separate. Windows
+and blocks are equal when two hashes are, 128 bits together: that of the second digit, which equal
+windows always share, and that of all their bytes.
 
 The texts are written once, bucketed by row, and every later pass meets them there without moving
-them again. Nulls and texts shorter than the window keep all bytes. Repeated rows are copies and
+them again; the table is dropped when the result is written. Nulls and texts shorter than the window keep all bytes. Repeated rows are copies and
 lose what they share, each. Null ids keep their row. An empty table gives an empty result; other
 columns are not read. Very long texts give more runs, which are separate rows. The digits are anchors
 and blocks rather than single bytes, so that a window is not shuffled once per byte.
@@ -161,13 +162,14 @@ def _third_pass(length: int):
     def run(batches):
         for batch in batches:
             data, off = flat(batch.column("body"))
-            row, start, many, mark = _lists(batch, "blocks", "start", "many", "mark")
+            row, start, many, mark, core = _lists(batch, "blocks", "start", "many", "mark", "core")
             pick = np.repeat(np.arange(len(row)), many)
             s = start[pick] + np.arange(len(pick)) - np.repeat(np.cumsum(many) - many, many)
             at = s + off[row][pick]
             yield pa.RecordBatch.from_arrays(
-                [_signed(range_hashes(data, at, at + length)), batch.column("row_id").take(pa.array(row[pick])),
-                 pa.array(s.astype(np.int64)), pa.array(mark.astype(bool)[pick])], names=["window", "row_id", "start", "mark"])
+                [_signed(range_hashes(data, at, at + length)), pa.array(core.astype(np.int64)[pick]),
+                 batch.column("row_id").take(pa.array(row[pick])), pa.array(s.astype(np.int64)), pa.array(mark.astype(bool)[pick])],
+                names=["window", "core", "row_id", "start", "mark"])
     return run
 
 
@@ -206,8 +208,15 @@ def repeated_spans(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "
     name = f"suffix_texts_{uuid4().hex}"
     (rows.repartition(buckets, "row_id").write.bucketBy(buckets, "row_id").option("compression", "zstd")
      .format("parquet").saveAsTable(name))
-    body = spark.table(name)
+    try:
+        # The result is thin; with it written the texts are not needed any more.
+        return written(_spans(spark.table(name), dict(rows.dtypes)["doc_id"], length, gram, block), "suffix_spans")
+    finally:
+        spark.sql(f"DROP TABLE IF EXISTS {name}")
 
+
+def _spans(body: DataFrame, kind: str, length: int, gram: int, block: int) -> DataFrame:
+    """The three passes over the bucketed texts (doc_id, body, row_id)."""
     runs = written(body.mapInArrow(_first_pass(length, gram), "key bigint, row_id bigint, at bigint, low bigint, high bigint"),
                    "suffix_runs")
     shared = runs.groupBy("key").agg(F.count("*").alias("n")).where("n > 1").select("key")
@@ -216,22 +225,20 @@ def repeated_spans(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "
     blocks = written(body.join(per_row, "row_id").select("row_id", "body", "runs").mapInArrow(
         _second_pass(length, gram, block), "core bigint, full bigint, row_id bigint, start bigint, many bigint"), "suffix_blocks")
 
-    extents = written(blocks.groupBy("full").agg(
-        F.first("core").alias("core"), F.count("*").alias("n"),
-        F.min(F.struct("row_id", "start", "many")).alias("one")), "suffix_extents")
-    whole = blocks.join(extents.where("n > 1").select("full"), "full", "left_semi").select(
+    extents = written(blocks.groupBy("full", "core").agg(
+        F.count("*").alias("n"), F.min(F.struct("row_id", "start", "many")).alias("one")), "suffix_extents")
+    whole = blocks.join(extents.where("n > 1").select("full", "core"), ["full", "core"], "left_semi").select(
         "row_id", "start", (F.col("start") + F.col("many") - 1 + length).alias("end"))
     split = extents.groupBy("core").agg(F.count("*").alias("kinds")).where("kinds > 1").select("core")
-    open_ = extents.join(split, "core", "left_semi").select("one.*", (F.col("n") == 1).alias("mark"))
-    per_row = open_.groupBy("row_id").agg(F.collect_list(F.struct("start", "many", "mark")).alias("blocks"))
+    open_ = extents.join(split, "core", "left_semi").select("one.*", (F.col("n") == 1).alias("mark"), "core")
+    per_row = open_.groupBy("row_id").agg(F.collect_list(F.struct("start", "many", "mark", "core")).alias("blocks"))
     windows = written(body.join(per_row, "row_id").select("row_id", "body", "blocks").mapInArrow(
-        _third_pass(length), "window bigint, row_id bigint, start bigint, mark boolean"), "suffix_windows")
-    twice = windows.groupBy("window").agg(F.count("*").alias("n")).where("n > 1").select("window")
-    single = windows.where("mark").join(twice, "window", "left_semi").select(
+        _third_pass(length), "window bigint, core bigint, row_id bigint, start bigint, mark boolean"), "suffix_windows")
+    twice = windows.groupBy("window", "core").agg(F.count("*").alias("n")).where("n > 1").select("window", "core")
+    single = windows.where("mark").join(twice, ["window", "core"], "left_semi").select(
         "row_id", "start", (F.col("start") + length).alias("end"))
 
     per_row = whole.union(single).groupBy("row_id").agg(F.collect_list(F.struct("start", "end")).alias("spans"))
-    kind = dict(rows.dtypes)["doc_id"]
     return body.join(per_row, "row_id", "left").select("doc_id", "body", "spans").mapInArrow(
         _cut, f"doc_id {kind}, n_bytes bigint, n_removed bigint, n_spans bigint, kept_sha256 string, "
               "removed array<struct<start: bigint, end: bigint>>")
