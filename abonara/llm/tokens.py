@@ -2,17 +2,16 @@
 
 A pre-token is a word mark followed by a run without ASCII white space. Its token count is that of
 the segmentation into vocabulary pieces with the highest sum of piece scores (ties: the longest
-last piece). Pre-tokens are walked in sorted order, which is the
-order of a trie: the forward scores of a shared prefix are computed once, and only the terminal
-count of each distinct pre-token is kept. A character that begins no piece scores ten less than
+last piece). A task inserts its distinct pre-tokens in a trie, whose nodes keep the forward scores:
+those of a shared prefix are computed once, and the count at the last node is that of the word. A character that begins no piece scores ten less than
 the lowest piece and counts one token per UTF-8 byte.
 
 The scores are those in the given model file, read as a unigram model; nothing is trained. Counts
 of a byte-pair file are therefore those of its best-scoring segmentation, not of its merge order.
 
 Nulls, empty and blank texts have no tokens. Repeated documents are counted one by one, an empty
-table gives an empty result, other columns are not read. The memory of distinct pre-tokens is
-dropped when it reaches ``CACHE`` entries and filled anew, so counts do not depend on it. A very long
+table gives an empty result, other columns are not read. The counts of ``CACHE`` distinct pre-tokens
+and a trie of ``NODES`` nodes are remembered and then begun anew, so counts do not depend on them. A very long
 text is many pre-tokens.
 """
 
@@ -28,6 +27,8 @@ from abonara.llm.common import texts
 
 MARK = "▁"
 CACHE = 400_000
+#: Nodes of a task's trie, about 350 bytes each.
+NODES = 300_000
 UNKNOWN_PENALTY = 10.0
 #: Where the file of public vocabularies lies; a parameter of every call.
 MODEL_FILE = "/opt/tokenizers/piece_bpe_32k.model"
@@ -43,24 +44,31 @@ def vocabulary(model_file: str) -> dict[str, float]:
 
 
 class Trie:
-    """Forward scores along the current path of a trie of pre-tokens."""
+    """Pre-tokens by their beginnings; every node keeps its forward score and its token count.
 
-    def __init__(self, pieces: dict[str, float]):
-        self.pieces = pieces
+    A node is [score, count, children]. Inserting a word walks the nodes it shares with any word
+    before it and computes the rest once. At ``limit`` nodes the trie starts anew.
+    """
+
+    def __init__(self, pieces: dict[str, float], limit: int = NODES):
+        self.pieces, self.limit = pieces, limit
         self.longest = max(map(len, pieces), default=1)
         self.unknown = min(pieces.values(), default=0.0) - UNKNOWN_PENALTY
-        self.best, self.count, self.path = [0.0], [0], ""
-        self.steps = 0
+        self.root, self.nodes, self.steps = [0.0, 0, None], 0, 0
 
     def terminal(self, word: str) -> int:
-        """Token count of ``word``; the part shared with the word before is not computed again."""
-        path, best, count, pieces = self.path, self.best, self.count, self.pieces
-        same, most = 0, min(len(path), len(word))
-        while same < most and path[same] == word[same]:
-            same += 1
-        del best[same + 1:], count[same + 1:]
-        for end in range(same + 1, len(word) + 1):
-            self.steps += 1
+        """Token count of ``word``."""
+        if self.nodes > self.limit:
+            self.root, self.nodes = [0.0, 0, None], 0
+        node, best, count, pieces = self.root, [0.0], [0], self.pieces
+        for char in word:
+            child = node[2].get(char) if node[2] else None
+            if child is None:
+                break
+            node = child
+            best.append(node[0])
+            count.append(node[1])
+        for end in range(len(best), len(word) + 1):
             char = word[end - 1]
             top, tokens = None, 0
             for start in range(max(0, end - self.longest), end):
@@ -71,7 +79,12 @@ class Trie:
                 top, tokens = best[end - 1] + self.unknown, count[end - 1] + len(char.encode("utf-8", "replace"))
             best.append(top)
             count.append(tokens)
-        self.path = word
+            child = [top, tokens, None]
+            if node[2] is None:
+                node[2] = {}
+            node[2][char] = node = child
+            self.nodes += 1
+            self.steps += 1
         return count[-1]
 
 
@@ -86,8 +99,8 @@ def _counter(handle):
                 if len(known) > CACHE:
                     known.clear()
                 fresh = {MARK + w.decode("utf-8", "replace"): w for bag in bags for w in bag if w not in known}
-                for word in sorted(fresh):
-                    known[fresh[word]] = trie.terminal(word)
+                for word, raw in fresh.items():
+                    known[raw] = trie.terminal(word)
                 for bag in bags:
                     out.append((sum(bag.values()), sum(n * known[w] for w, n in bag.items())))
             sizes = np.array([len(b) for b in bodies], np.int64)
