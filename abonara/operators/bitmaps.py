@@ -13,21 +13,23 @@ shuffle, so a dimension value that holds most accounts is no hot key.
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
-from datetime import date
+from datetime import date, timedelta
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from abonara.session import written
 from abonara.sources.commits import PeriodStore
 
 
 def number_accounts(store: PeriodStore, name: str, accounts: DataFrame, period: date) -> DataFrame:
-    """Give numbers to accounts that have none, save them under ``period``, and return all numbers.
+    """Give numbers to accounts that have none, save them, and return all numbers.
 
-    Saved numbers never change. A repeated run of the same period finds no new accounts and saves
-    nothing.
+    Saved numbers never change: new ones are saved beside them, under ``period`` or the first day
+    after it that is free. A repeated run finds no new accounts and saves nothing.
     """
     wanted = accounts.select("account").where(F.col("account").isNotNull()).distinct()
-    if store.periods(name):
+    taken = set(store.periods(name))
+    if taken:
         known = store.read(name).drop("period")
         new, start = wanted.join(known, "account", "left_anti"), known.agg(F.max("number")).first()[0]
         first = 0 if start is None else start + 1
@@ -36,16 +38,13 @@ def number_accounts(store: PeriodStore, name: str, accounts: DataFrame, period:
     # Numbers run through inside a task; every task has a range of its own.
     numbered = new.select("account", (F.monotonically_increasing_id() + F.lit(first)).alias("number"))
     if known is None or not new.isEmpty():
-        free = next(p for p in _days_from(period) if p not in store.periods(name))
+        free = period
+        while free in taken:
+            free += timedelta(days=1)
         store.save(name, free, numbered)
     return store.read(name).drop("period")
 
 
-def _days_from(period: date):
-    for n in range(period.toordinal(), date.max.toordinal()):
-        yield date.fromordinal(n)
-
-
 def bitmaps(rows: DataFrame, numbers: DataFrame, dims: Sequence[str], flags: Mapping[str, Column]) -> DataFrame:
     """One bitmap per dimensions, bucket of numbers and flag; ``flags`` are true for rows that count."""
     numbered = rows.join(numbers, "account").withColumn("bucket", F.bitmap_bucket_number("number"))
@@ -72,12 +71,18 @@ class DistinctCube:
         self.store, self.name, self.dims, self.flags = store, name, list(dims), dict(flags)
 
     def add(self, rows: DataFrame) -> list[date]:
-        """Save the bitmaps of every ``period`` in ``rows``; periods saved before are replaced."""
+        """Save the bitmaps of every ``period`` in ``rows``; periods saved before are replaced.
+
+        Numbering and counting both read the rows, so they are written once, reduced to what counts.
+        """
+        marks = {n: F.col(f"_in_{n}") for n in self.flags}
+        rows = written(rows.select("account", "period", *self.dims, *[
+            F.coalesce(keep, F.lit(False)).alias(f"_in_{n}") for n, keep in self.flags.items()]), f"{self.name}_rows")
         first = rows.agg(F.min("period")).first()[0]
         if first is None:
             return []
         numbers = number_accounts(self.store, f"{self.name}_accounts", rows, first)
-        return self.store.save_all(self.name, bitmaps(rows, numbers, ["period", *self.dims], self.flags))
+        return self.store.save_all(self.name, bitmaps(rows, numbers, ["period", *self.dims], marks))
 
     def counts(self, by: Mapping[str, Column], first: date | None = None, last: date | None = None) -> DataFrame:
         """Distinct accounts by any columns made of ``period`` and the dimensions."""

@@ -45,21 +45,23 @@ def account_closing(daily: DataFrame, grain: str = "month") -> DataFrame:
 
     ``daily`` has one row per account and day with product names, ``inst_dt`` and ``age_fix`` (see
     ``dedup.repair_age``). Adds ``held_rgus`` (lines held at any time in the period), ``start_dt``,
-    ``max_inst_dt``, ``first_rgus`` of the account and ``tenure``. The period aggregate carries the
-    period's own firsts, so the account-wide values are a window over period rows, not further
-    scans of the snapshot.
+    ``max_inst_dt``, ``first_rgus`` of the account and ``tenure``.
+
+    Everything is read along the days of an account, in the order that the repair has made: the
+    last row of a period is the one whose successor lies in another, and what a period held is the
+    difference of running counts between two such rows. So no further shuffle or sort is needed.
     """
-    columns = [c for c in daily.columns if c not in ("account", "prev_age", "next_age", "is_jump")]
-    by_period = daily.groupBy("account", period_of(F.col("dt"), grain).alias("period")).agg(
-        F.max_by(F.struct(*columns), "dt").alias("last"), F.min("dt").alias("_first"),
-        F.max("inst_dt").alias("_inst"), F.min_by(named_lines(), "dt").alias("_rgus"), held_lines().alias("held_rgus"))
-    whole = Window.partitionBy("account")
-    rows = by_period.select(
-        "account", "period", "last.*", "held_rgus",
-        F.min("_first").over(whole).alias("start_dt"),
-        F.max("_inst").over(whole).alias("max_inst_dt"),
-        F.min_by("_rgus", "_first").over(whole).alias("first_rgus"))
-    return rows.withColumn("tenure", complete_months(F.col("start_dt"), F.col("dt")))
+    along, whole = Window.partitionBy("account").orderBy("dt"), Window.partitionBy("account")
+    upto = along.rowsBetween(Window.unboundedPreceding, 0)
+    lines = {f"_{c}": c for c in ("vo_nm", "bb_nm", "tv_nm")}
+    rows = daily.drop("prev_age", "next_age", "is_jump").withColumns({
+        "period": period_of(F.col("dt"), grain), "_next": F.lead("dt").over(along),
+        **{n: F.count(c).over(upto) for n, c in lines.items()},
+        "first_rgus": F.first(named_lines()).over(upto), "start_dt": F.first("dt").over(upto),
+        "max_inst_dt": F.max("inst_dt").over(whole)})
+    last = rows.where(F.col("_next").isNull() | (period_of(F.col("_next"), grain) != F.col("period")))
+    held = sum(flag(F.col(n) > F.coalesce(F.lag(n).over(along), F.lit(0))) for n in lines)
+    return last.withColumns({"held_rgus": held, "tenure": complete_months(F.col("start_dt"), F.col("dt"))}).drop("_next", *lines)
 
 
 def _side(daily, prefix, columns, grain, boundary, shift, kept):
