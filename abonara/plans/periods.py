@@ -182,7 +182,7 @@ class AccountRuns:
     def _one(self, name: str, period: date) -> DataFrame:
         return self.store.read(name, period, period).drop("period")
 
-    def _save(self, name: str, period: date, rows: DataFrame, used: Sequence[tuple[str, date]]) -> None:
+    def _save(self, name: str, period: date, rows: DataFrame, used: Sequence[tuple[str, date, str]]) -> None:
         rows = rows.drop("period")
         self.store.save(name, period, rows, used, {"grain": self.grain, "max_age": self.max_age})
 
@@ -212,8 +212,8 @@ class AccountRuns:
 
     def run_fixed(self, period: date) -> None:
         """Fixed table and state of one period; reads its days and the state before it."""
-        used = [("fixed_days", period), ("fixed_state", self._before(period))]
-        days, state = (self._one(*u) for u in used)
+        used = self.store.runs([("fixed_days", period), ("fixed_state", self._before(period))])
+        days, state = (self._one(*u[:2]) for u in used)
         # Both results need the facts, one row per account: written once.
         facts = written(period_facts(days, self.grain), "fixed_facts")
         table, after = fixed_period(facts, state, period, self.grain, self.max_age)
@@ -222,14 +222,14 @@ class AccountRuns:
 
     def run_mobile(self, period: date) -> None:
         """Mobile table and state of one period; reads its lines and movements and the state before it."""
-        used = [("mobile_lines", period), ("mobile_moves", period), ("mobile_state", self._before(period))]
-        lines, moves, state = (self._one(*u) for u in used)
+        used = self.store.runs([("mobile_lines", period), ("mobile_moves", period), ("mobile_state", self._before(period))])
+        lines, moves, state = (self._one(*u[:2]) for u in used)
         table, after = mobile_period(lines, state, moves, period, self.grain)
         self._save("mobile", period, table, used)
         self._save("mobile_state", period, after, used)
 
     def run_converged(self, period: date, emails: DataFrame) -> None:
         """Converged table of one period from the saved fixed and mobile tables."""
-        used = [("fixed", period), ("mobile", period)]
-        fixed, mobile = (self.store.read(name, when, when) for name, when in used)
+        used = self.store.runs([("fixed", period), ("mobile", period)])
+        fixed, mobile = (self.store.read(name, when, when) for name, when, _ in used)
         self._save("converged", period, T.labelled_fmc(fixed, T.near_lines(mobile, emails)), used)

@@ -85,17 +85,17 @@ class PeriodStore:
         """Write a period and commit it; tells whether it wrote.
 
         ``inputs`` are the saved periods that ``rows`` was computed from; missing and stale ones are
-        refused. Without ``replace`` a period that is committed, fresh and has the same parameters
+        refused, and with the run named (see :meth:`runs`) also one replaced since it was read. Without ``replace`` a period that is committed, fresh and has the same parameters
         is left alone, and ``rows`` is not computed.
         """
         commits, parameters, inputs = self.commits(), dict(parameters or {}), list(inputs)
-        self._require(inputs, commits)
+        used = self._used(inputs, commits)
         old = commits.get((name, period))
         if not replace and old is not None and old.parameters == parameters and not self.problems(name, period, commits):
             return False
         run, seen = uuid4().hex, Observation()
         rows.observe(seen, F.count(F.lit(1)).alias("rows")).write.parquet(self._folder(name, period, run))
-        used = [(of, when, commits[of, when].run) for of, when in inputs]
+        # An input replaced while the rows were written makes this run stale, not wrong.
         self._commit([(name, period, run, time.time_ns(), seen.get["rows"], json.dumps(parameters, sort_keys=True),
                        rows.schema.json(), used)])
         return True
@@ -107,18 +107,28 @@ class PeriodStore:
         Other periods of the table stay as they are. All periods are committed at once: readers see
         none of them or all.
         """
-        commits, inputs, run = self.commits(), list(inputs), uuid4().hex
-        self._require(inputs, commits)
+        run = uuid4().hex
+        used = self._used(list(inputs), self.commits())
         found = rows.withColumn("run", F.lit(run))
         found.write.mode("append").partitionBy("period", "run").parquet(f"{self.path}/{name}")
         held = (self.spark.read.schema(found.schema).parquet(f"{self.path}/{name}").where(F.col("run") == run)
                 .groupBy("period").agg(F.count("*").alias("rows")).collect())
-        used = [(of, when, commits[of, when].run) for of, when in inputs]
         columns, settings, at = rows.drop("period").schema.json(), json.dumps(dict(parameters or {}), sort_keys=True), time.time_ns()
         if held:
             self._commit([(name, r.period, run, at, r.rows, settings, columns, used) for r in held])
         return sorted(r.period for r in held)
 
+    def runs(self, inputs: Iterable[tuple[str, date]]) -> list[tuple[str, date, str]]:
+        """The runs that a reader of these periods gets now, for ``inputs`` of a later save."""
+        return self._used(list(inputs), self.commits())
+
+    def _used(self, inputs: list[tuple], commits: Mapping) -> list[tuple[str, date, str]]:
+        self._require([i[:2] for i in inputs], commits)
+        wrong = [f"{i[0]} {i[1]} was run again" for i in inputs if len(i) > 2 and commits[i[:2]].run != i[2]]
+        if wrong:
+            raise NotReady("; ".join(wrong))
+        return [(of, when, commits[of, when].run) for of, when, *_ in inputs]
+
     def _require(self, inputs: Iterable[tuple[str, date]], commits: Mapping) -> None:
         wrong = [p for of, when in inputs for p in self.problems(of, when, commits)]
         if wrong:

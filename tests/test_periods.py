@@ -125,6 +125,12 @@ def test_killed_and_repeated_months(spark, tmp_path, monkeypatch):
     assert [r.v for r in PeriodStore(spark, path).read("table").collect()] == [6]
     with pytest.raises(NotReady, match="no finished run"):
         store.read("table", MONTHS[1], MONTHS[1])
+    # An input that is replaced between reading and saving.
+    read = store.runs([("days", month)])
+    store.save("days", month, frame(5, 5))
+    with pytest.raises(NotReady, match="was run again"):
+        store.save("table", month, frame(7), read)
+    assert store.save("table", month, frame(6), store.runs([("days", month)]), {"limit": 92})
     # Older months may lack columns.
     store.save("table", MONTHS[1], spark.createDataFrame([(8, "new")], "v int, w string"), [])
     assert as_set(store.read("table"), ["period", "v", "w"]) == [(month, 6, None), (MONTHS[1], 8, "new")]
