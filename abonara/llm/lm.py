@@ -41,6 +41,9 @@ BIGRAM_SHARE = 0.35
 FOLDS = 10
 #: Bytes of text in a chunk, of a bucket of chunks, and per bucket of n-grams.
 CHUNK, GROUP, BUCKET = 8 << 20, 32 << 20, 8 << 20
+#: Beyond these numbers groups and buckets grow instead, so that a chunk still sends several n-grams to each
+#: bucket: at 100 TB a bucket holds 1 GB.
+MAX_GROUPS, MAX_BUCKETS = 50_000, 100_000
 #: Level of a count of 2^62; a full filter would answer yes for ever.
 TOP_LEVEL = 125
 _END = np.uint64(0x5851F42D4C957F2D)
@@ -290,7 +293,7 @@ def scores(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text") -
     rows = texts(docs, id_col, text_col).withColumn("held_out", held_out(folds=FOLDS))
     kind = dict(rows.dtypes)["doc_id"]
     size = rows.agg(F.sum(F.octet_length("body"))).first()[0] or 0
-    buckets, groups = max(16, size // BUCKET), max(4, size // GROUP)
+    buckets, groups = min(max(16, size // BUCKET), MAX_BUCKETS), min(max(4, size // GROUP), MAX_GROUPS)
     name = f"lm_texts_{uuid4().hex}"
     (rows.mapInArrow(_dealt(CHUNK), f"doc_id {kind}, body binary, held_out boolean, chunk long").write
      .bucketBy(groups, "chunk").option("compression", "zstd").format("parquet").saveAsTable(name))
