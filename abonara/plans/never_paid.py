@@ -6,7 +6,7 @@ from datetime import date
 
 from pyspark.sql import DataFrame, functions as F
 
-from abonara.functions.calendar import in_period, period_of
+from abonara.functions.calendar import in_period
 from abonara.functions.profile import channel_group, collapse_channel
 from abonara.operators import billing as B
 from abonara.operators import cohort as H
