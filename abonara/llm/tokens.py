@@ -17,6 +17,7 @@ text is many pre-tokens.
 
 from __future__ import annotations
 
+import gc
 from collections import Counter
 
 import numpy as np
@@ -30,6 +31,7 @@ CACHE = 400_000
 #: Nodes of a task's trie, about 350 bytes each.
 NODES = 300_000
 UNKNOWN_PENALTY = 10.0
+_NO_END = object()
 #: Where the file of public vocabularies lies; a parameter of every call.
 MODEL_FILE = "/opt/tokenizers/piece_bpe_32k.model"
 
@@ -52,7 +54,8 @@ class Trie:
 
     def __init__(self, pieces: dict[str, float], limit: int = NODES):
         self.pieces, self.limit = pieces, limit
-        self.longest = max(map(len, pieces), default=1)
+        # Every end of a piece, with the score of those that are pieces themselves.
+        self.ends = {piece[at:]: None for piece in pieces for at in range(len(piece))} | pieces
         self.unknown = min(pieces.values(), default=0.0) - UNKNOWN_PENALTY
         self.root, self.nodes, self.steps = [0.0, 0, None], 0, 0
 
@@ -60,7 +63,7 @@ class Trie:
         """Token count of ``word``."""
         if self.nodes > self.limit:
             self.root, self.nodes = [0.0, 0, None], 0
-        node, best, count, pieces = self.root, [0.0], [0], self.pieces
+        node, best, count, pieces, ends = self.root, [0.0], [0], self.pieces, self.ends
         for char in word:
             child = node[2].get(char) if node[2] else None
             if child is None:
@@ -71,9 +74,12 @@ class Trie:
         for end in range(len(best), len(word) + 1):
             char = word[end - 1]
             top, tokens = None, 0
-            for start in range(max(0, end - self.longest), end):
-                score = pieces.get(word[start:end])
-                if score is not None and (top is None or best[start] + score > top):
+            for start in range(end - 1, -1, -1):
+                # Once no piece ends like this, no longer one does.
+                score = ends.get(word[start:end], _NO_END)
+                if score is _NO_END:
+                    break
+                if score is not None and (top is None or best[start] + score >= top):
                     top, tokens = best[start] + score, count[start] + 1
             if char not in pieces and (top is None or best[end - 1] + self.unknown > top):
                 top, tokens = best[end - 1] + self.unknown, count[end - 1] + len(char.encode("utf-8", "replace"))
@@ -91,6 +97,14 @@ class Trie:
 def _counter(handle):
     def run(batches):
         trie, known = Trie(handle.value), {}
+        # The nodes hold no cycles; collecting would only walk them again and again.
+        gc.disable()
+        try:
+            yield from counted(batches, trie, known)
+        finally:
+            gc.enable()
+
+    def counted(batches, trie, known):
         for batch in batches:
             bodies = batch.column("body").to_pylist()
             out = []
