@@ -29,10 +29,15 @@ def phone_converge(fixed: DataFrame, mobile: DataFrame) -> DataFrame:
     The phones are exploded to one column and joined once. A number is one mobile
     account, so a pair exists at most once per phone. Kept are each fixed account's best
     pair and each number's best two; ``match_rank`` numbers what is left per number.
+
+    Both tables have one row per account and period. Saved ones compress so well that the size of
+    a few columns in the files is a hundredth of their size in memory; the joins are merged, or
+    Spark would take the numbers for a small table and broadcast them.
     """
     phones = (fixed.select("period", "fixed_account", F.explode(F.array_distinct(F.array_compact(
         F.array("phone1", "phone2")))).alias("mobile_account")))
-    pairs = phones.join(mobile.select("period", "mobile_account"), ["period", "mobile_account"], "left_semi")
+    numbers = mobile.select("period", "mobile_account").hint("merge")
+    pairs = phones.join(numbers, ["period", "mobile_account"], "left_semi")
     kept = rank_pairs(pairs)
     left_over = Window.partitionBy("period", "mobile_account").orderBy(F.desc("fixed_account"))
     return kept.withColumn("match_rank", F.row_number().over(left_over)).drop("left_rank", "right_rank")
@@ -52,7 +57,7 @@ def fmc_base(fixed: DataFrame, mobile: DataFrame, matches: DataFrame) -> DataFra
     match get a key of their own, so that they do not gather in one null partition.
     """
     matched = fixed.join(
-        matches.withColumnRenamed("mobile_account", "_mobile"), ["period", "fixed_account"], "left")
+        matches.withColumnRenamed("mobile_account", "_mobile").hint("merge"), ["period", "fixed_account"], "left")
     left = matched.withColumn("_key", F.coalesce("_mobile", F.concat(F.lit("none:"), "fixed_account")))
     right = mobile.withColumn("_key", F.col("mobile_account"))
     joined = left.join(right, ["period", "_key"], "full").drop("_key", "_mobile")
@@ -83,7 +88,7 @@ def fmc_class(df: DataFrame, prepaid: DataFrame, real_codes: Iterable[str]) -> D
         listed = phones.select(F.col("phone").alias(f"_p{n}"), F.col("on_b").alias(f"_b{n}"),
                                F.col("on_e").alias(f"_e{n}"))
         own = F.concat(F.lit("none:"), F.coalesce("fixed_account", "mobile_account"))
-        df = df.withColumn(f"_p{n}", F.coalesce(f"phone{n}", own)).join(listed, f"_p{n}", "left").drop(f"_p{n}")
+        df = df.withColumn(f"_p{n}", F.coalesce(f"phone{n}", own)).join(listed.hint("merge"), f"_p{n}", "left").drop(f"_p{n}")
     codes = list(real_codes)
     for s in "be":
         fixed = F.coalesce(F.col(f"fix_{s}_active"), F.lit(0)) == 1

@@ -48,3 +48,22 @@ def test_line_items_are_hash_aggregated(spark, folder):
     from abonara.plans.fixtures import Inputs
     plan = plan_of(Inputs(spark, folder).order_lines)
     assert "HashAggregate(keys=[l_orderkey" in plan and "SortAggregate" not in plan
+
+
+def test_phone_chain_broadcasts_no_account_table(spark, tmp_path):
+    """Saved tables look small in their files: equal values compress to nothing, in memory they do not."""
+    from abonara.plans import tables as T
+    moves = {f"fix_{c}": "string" for c in ("churn_flag", "churn_type", "movement")} | {"fix_rejoiner": "int", "fix_e_start": "date"}
+    sides = {"active": "int", "tenure": "string", "mrc": "double", "rgus": "int"}
+    more = {"mix": "string", "tech": "string", "bill_code": "string", "overdue": "int"}
+    fixed = {"period": "date", "fixed_account": "string", "phone1": "string", "phone2": "string"} | moves | {
+        f"fix_{s}_{c}": t for s in "be" for c, t in (sides | more).items()}
+    mobile = {"period": "date", "mobile_account": "string", "mob_churn_flag": "string", "mob_churn_type": "string",
+              "mob_movement": "string", "mob_rejoiner": "int"} | {f"mob_{s}_{c}": t for s in "be" for c, t in sides.items()}
+    prepaid = {"phone": "string", "on_b": "int", "on_e": "int"}
+    saved = []
+    for name, columns in (("fixed", fixed), ("mobile", mobile), ("prepaid", prepaid)):
+        spark.createDataFrame([], ", ".join(f"{c} {t}" for c, t in columns.items())).write.parquet(f"{tmp_path}/{name}")
+        saved.append(spark.read.parquet(f"{tmp_path}/{name}"))
+    plan = plan_of(T.phone_fmc_table(*saved))
+    assert "SortMergeJoin" in plan and "Broadcast" not in plan
