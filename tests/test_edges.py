@@ -156,6 +156,26 @@ def test_one_pass_pairing_equals_join(spark):
     assert rows(joined, *names) == rows(passed, *names)
 
 
+def test_pairing_looks_back_two_periods_and_keeps_undated_rows(spark):
+    rnd = random.Random(5)
+    data = [(a, m, rnd.choice((None, 5, 89, 90, 120))) for a in ("a", "b", "c", None) for m in range(1, 13) if rnd.random() < .6]
+    at = {(a, m): age for a, m, age in data}
+    first = lambda m: dt.date(2022 + (m - 1) // 12, (m - 1) % 12 + 1, 1)
+    df = spark.createDataFrame([(a, dt.date(2022, m, 28), age, 10 * m) for a, m, age in data] + [("u", None, 5, 7)],
+                               "account string, dt date, age int, n int")
+    got = S.pair_closing_rows(df.withColumn("period", F.trunc("dt", "month")), ["n"], earlier=["n"])
+    want = [("u", None, 1, 1, 7, 7, None)]
+    for a in ("a", "b", "c", None):
+        for m in range(1, 14):
+            kept = lambda k, old: (a, k) in at and (at[a, k] is None or at[a, k] < 90 or at[a, k] == old)  # noqa: E731, B023
+            b, e = kept(m - 1, None), kept(m, 90)
+            if b or e:
+                want.append((a, first(m), int(b), int(e), 10 * (m - 1) if b else None, 10 * m if e else None,
+                             10 * (m - 2) if (a, m - 2) in at else None))
+    names = ["account", "period", "active_bom", "active_eom", "b_n", "e_n", "p_n"]
+    assert rows(got, *names) == sorted(want, key=str)
+
+
 # -- churn -----------------------------------------------------------------------------
 
 def test_involuntary_needs_neighbouring_periods(spark):

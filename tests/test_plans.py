@@ -50,6 +50,13 @@ def test_line_items_are_hash_aggregated(spark, folder):
     assert "HashAggregate(keys=[l_orderkey" in plan and "SortAggregate" not in plan
 
 
+def test_fixed_table_sorts_the_days_of_an_account_once(spark, folder):
+    """Pairing and looking back follow that order; sorting both sides of all rows took most memory."""
+    plan = plan_of(CASES["fixed_table"].run(spark, folder))
+    sorts = [line for line in plan.splitlines() if "Sort [" in line and "account" in line and "order_id" not in line]
+    assert len(sorts) == 1 and "SortAggregate" not in plan
+
+
 def test_phone_chain_broadcasts_no_account_table(spark, tmp_path):
     """Saved tables look small in their files: equal values compress to nothing, in memory they do not."""
     from abonara.plans import tables as T
