@@ -319,6 +319,17 @@ def test_hot_contract_keeps_every_line(spark):
     assert got.where("fixed_account IS NULL AND copies = 1").count() == 10
 
 
+def test_null_keys_and_periods_meet_each_other(spark):
+    fixed = spark.createDataFrame([(DAY0, None, 1, 1), (None, "88", 1, 0), (DAY0, "", 1, 1)],
+                                  "period date, fixed_account string, active_bom int, active_eom int")
+    mobile = spark.createDataFrame([(DAY0, "m1", None, 1, 1), (None, "m2", "88", 1, 1), (None, None, None, 1, 1)],
+                                   "period date, mobile_account string, fmc_account string, "
+                                   "mobile_active_bom int, mobile_active_eom int")
+    got = rows(C.converge(fixed, mobile), "period", "fixed_account", "mobile_account", "active_bom", "copies")
+    assert got == sorted([(DAY0, None, "m1", 1, 1), (None, "88", "m2", 1, 1), (None, None, None, None, 1),
+                          (DAY0, "", None, 1, 1)], key=str)
+
+
 def test_shared_folder_of_the_session_is_used():
     from types import SimpleNamespace
     from abonara.session import ensure_checkpoint_dir

@@ -57,6 +57,10 @@ def test_fixed_table_sorts_the_days_of_an_account_once(spark, folder):
     assert len(sorts) == 1 and "SortAggregate" not in plan
 
 
+def test_converged_labels_leave_other_columns_behind(spark, folder):
+    plan = plan_of(CASES["fmc_types"].run(spark, folder))
+    assert "collect_list" not in plan and "b_plan#" not in plan and "FullOuter" in plan
+
 def test_phone_chain_broadcasts_no_account_table(spark, tmp_path):
     """Saved tables look small in their files: equal values compress to nothing, in memory they do not."""
     from abonara.plans import tables as T
