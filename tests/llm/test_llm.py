@@ -106,6 +106,36 @@ def test_repeated_bytes_match_brute_force(docs, rows):
     assert got == want and any(k[2] for k in want)
 
 
+def test_join_of_a_very_common_passage_is_split(spark, monkeypatch):
+    rng = random.Random(6)
+    word = lambda n: "".join(rng.choice("abcdefghij") for _ in range(n))
+    passage = word(600)
+    rows = [(k, word(40) + passage + word(40)) for k in range(200)]
+    small = {"spark.sql.shuffle.partitions": "5", "spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.files.openCostInBytes": "64m",
+             "spark.sql.adaptive.advisoryPartitionSizeInBytes": "1k", "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "1k",
+             "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "1.1"}
+    before = {k: spark.conf.get(k) for k in small}
+    plans, write = [], suffixes.written
+
+    def spy(df, name):
+        if name == "suffix_blocks":
+            try:
+                for k, v in small.items():
+                    spark.conf.set(k, v)
+                df.collect()
+                plans.append(df._jdf.queryExecution().executedPlan().toString())
+            finally:
+                for k, v in before.items():
+                    spark.conf.set(k, v)
+        return write(df, name)
+
+    monkeypatch.setattr(suffixes, "written", spy)
+    got = suffixes.repeated_spans(spark.createDataFrame(rows, "doc_id bigint, text string")).collect()
+    # Neighbouring bytes may be equal by chance in some of the texts.
+    assert len(got) == len(rows) and all(r.n_spans == 1 and 600 <= r.n_removed < 620 for r in got)
+    assert len(plans) == 1 and "skew=true" in plans[0]
+
+
 def test_secrets_spans_and_ledger(spark):
     texts = ['é password = "abcdefghijkl" x', "Token:short token: AbCdEfGhIjKl9/+", "AKIAABCDEFGHIJKLMN AKIA12", "0123456789abcdef0 0123456789abcde", None, ""]
     table = spark.createDataFrame([(k, t, 1) for k, t in enumerate(texts + texts[:1])], "doc_id int, text string, blob int")
